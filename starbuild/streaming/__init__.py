@@ -1,0 +1 @@
+"""Empty on purpose: every load is a batch, incremental by anti join (see operators.incremental)."""
