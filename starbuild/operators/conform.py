@@ -28,7 +28,7 @@ def _require_columns(df: DataFrame, schema: T.StructType) -> None:
 
 def _can_fail(source: T.DataType, target: T.DataType) -> bool:
     """Casts between atomic types that a value may refuse."""
-    if source == target or isinstance(target, (T.StringType, T.ArrayType, T.StructType, T.MapType)):
+    if source in (target, T.NullType()) or isinstance(target, (T.StringType, T.ArrayType, T.StructType, T.MapType)):
         return False
     return not isinstance(source, (T.ArrayType, T.StructType, T.MapType))
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .quality import require_empty
+from .skew import skew_join
 
 
 def pending_keys(parent: DataFrame, key: str, *loaded: tuple[DataFrame, str]) -> DataFrame:
@@ -56,6 +57,8 @@ def new_rows(
     there, and the large table is read without being shuffled.
     """
     found = matched_keys(target, source, keys, null_safe, small)
+    if not (small or null_safe):
+        return skew_join(source, found, keys, "left_anti").select(*source.columns)
     found = _hinted(found.select(*[F.col(k).alias(f"_k_{k}") for k in keys]), small)
     return source.join(found, _on(source, found, keys, found.columns, null_safe), "left_anti")
 
@@ -69,17 +72,20 @@ def updated_rows(
     small: bool = False,
 ) -> DataFrame:
     """All rows of `target`; where `source` has the key, the columns `update` take its values, nulls included."""
-    changes = source.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[F.col(c).alias(f"_v_{c}") for c in update],
-        F.lit(True).alias("_hit"),
+    changes = source.select(*keys, *[F.col(c).alias(f"_v_{c}") for c in update], F.lit(True).alias("_hit"))
+    if small or null_safe:
+        changes = _hinted(changes.withColumnsRenamed({k: f"_k_{k}" for k in keys}), small)
+        joined = target.join(changes, _on(target, changes, keys, [f"_k_{k}" for k in keys], null_safe), "left")
+    else:
+        joined = skew_join(target, changes, keys, "left")
+    return joined.select(
+        *[F.when(F.col("_hit"), F.col(f"_v_{c}")).otherwise(F.col(c)).alias(c) if c in update else c for c in target.columns]
     )
-    condition = _on(target, changes, keys, [f"_k_{k}" for k in keys], null_safe)
-    values = [
-        F.when(F.col("_hit"), F.col(f"_v_{c}")).otherwise(target[c]).alias(c) if c in update else target[c]
-        for c in target.columns
-    ]
-    return target.join(_hinted(changes, small), condition, "left").select(*values)
+
+
+def like(source: DataFrame, target: DataFrame) -> DataFrame:
+    """The columns of `target`, in its order and types."""
+    return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
 def require_unique(source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> None:
@@ -104,7 +110,7 @@ def upsert(
     source whose size was checked: it is then broadcast to the target.
     """
     update = [c for c in target.columns if c not in keys] if update is None else list(update)
-    source = source.select(*target.columns)
+    source = like(source, target)
     if check:
         require_unique(source, keys, null_safe)
     kept = updated_rows(target, source, keys, update, null_safe, small) if update else target

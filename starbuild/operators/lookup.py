@@ -14,8 +14,8 @@ BROADCAST_ROWS = 500_000
 
 
 def within(df: DataFrame, rows: int) -> bool:
-    """Whether `df` has at most `rows` rows; reads no more than it needs to tell."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether `df` has at most `rows` rows."""
+    return df.count() <= rows
 
 
 def lookup(
@@ -54,7 +54,7 @@ def left_enrich(
     children: DataFrame,
     key: str,
     child_key: str,
-    hot: DataFrame | None = None,
+    hot: dict[int, int] | None = None,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the columns of `children` (at most one row per key) and keep every row of `df`.

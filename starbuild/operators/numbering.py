@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .skew import HOT_ROWS, fan_out, hot_keys, same_group
+from .skew import HOT_ROWS, fan_out, hot_keys, key_hash
 
 # monotonically_increasing_id() puts the partition above bit 33 and the row's place below.
 PLACE_BITS = 33
@@ -59,17 +60,18 @@ def rank_in_group(
     row_number = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     if keep is not None:
         return df.withColumn(name, row_number).filter(F.col(name) <= keep)
-    # At most one key per shuffle partition comes back (see hot_keys).
-    hot = hot_keys(df, group, min_rows).drop("_ways")
-    listed = hot.collect()
-    if not listed:
+    hot = hot_keys(df, group, min_rows)
+    if not hot:
         return df.withColumn(name, row_number)
-    large = F.broadcast(df.sparkSession.createDataFrame(listed, hot.schema))
-    usual = df.join(large, same_group(df, large, group), "left_anti")
-    split = df.join(large, same_group(df, large, group), "left_semi")
+    large = key_hash(group).isin(*hot)
+    usual, split = df.filter(~large), df.filter(large)
     return usual.withColumn(name, row_number).unionByName(_rank_split(split, group, order, name))
 
 
+def _same_group(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def _rank_split(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Ranks for few, very large groups.
 
@@ -96,7 +98,7 @@ def _rank_split(df: DataFrame, group: Sequence[str], order: Sequence[str], name:
     )
     counted = placed.withColumn("_here", F.coalesce(F.sum("_n").over(in_part), F.lit(0)))
     before = F.broadcast(before)
-    started = counted.join(before, same_group(counted, before, [*group, "_part"])).select(
+    started = counted.join(before, _same_group(counted, before, [*group, "_part"])).select(
         *[counted[c] for c in df.columns], "_n", (F.col("_before") + F.col("_here")).alias("_start")
     )
     # Unfold the copies in two steps, spread in between, so that no array or task gets them all.

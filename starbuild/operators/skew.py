@@ -10,30 +10,36 @@ from pyspark.sql import functions as F
 
 # Below this many rows a key is left alone: one task handles it easily.
 HOT_ROWS = 100_000
+# Items the sketch tracks per key it may report, and the most it can track.
+TRACKED, MOST_TRACKED = 16, 1_000_000
+# Salts per partition's share of a hot key: salted keys are placed by hash, and smaller pieces even out better.
+SALTS = 4
 
 
 def fan_out(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys holding more than an average partition's share of `df`, with a column `_ways`.
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*keys)
 
-    With P shuffle partitions at most P keys can each hold more than 1/P of the rows, so the
-    result is small whatever the size of `df`. `_ways` is the key's share in partitions,
-    rounded up; the sum over all keys is below 2 P.
-    """
-    parts = fan_out(df)
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.filter(
-        (F.col("_rows") > F.lit(min_rows)) & (F.col("_rows") * parts > total)
-    ).select(*keys, F.least(F.ceil(F.col("_rows") * parts / total), F.lit(parts)).cast("int").alias("_ways"))
 
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> dict[int, int]:
+    """Keys holding more than an average partition's share of `df`: key hash to number of salts.
 
-def same_group(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on all `keys`."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    One pass with a heavy-hitter sketch and no shuffle by key. With P shuffle partitions at most P
+    keys can hold more than 1/P of the rows, so the answer is small whatever the size of `df`. It
+    is an estimate, used only to place rows: which keys it lists never changes a result.
+    """
+    parts = fan_out(df)
+    tracked = min(TRACKED * parts, MOST_TRACKED)
+    sketch = F.expr(f"approx_top_k(_hash, {min(parts, tracked)}, {tracked})")
+    top, total = df.select(key_hash(keys).alias("_hash")).agg(sketch, F.count("*")).first()
+    return {
+        item: SALTS * min(-(-n * parts // total), parts)
+        for item, n in top or []
+        if n > min_rows and n * parts > total
+    }
 
 
 def skew_join(
@@ -41,36 +47,44 @@ def skew_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    hot: DataFrame | None = None,
+    hot: dict[int, int] | None = None,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join of `left` with a `right` that holds about one row per key.
 
-    Rows of a hot left key are dealt over `_ways` salts by the input partition they come from
-    (which a retried task reproduces), and the right row is repeated once per salt. The rows are
-    those of the plain join; only their placement differs. `hot` may be passed when the same keys
-    can be counted on a cheaper frame; which keys are listed never changes the result.
+    Without hot keys this is the plain join. Otherwise the rows of a hot left key are dealt over
+    several salts by the input partition they come from (which a retried task reproduces), and
+    the right row is repeated once per salt, a few repeats per shuffle partition in all.
+    The rows are those of the plain join; only their placement differs.
+
+    `hot` may be passed when the keys can be counted on a frame that is cheaper to read.
     `how` is one of inner, left, left_semi, left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     on = list(on)
+    # The salt goes by a hash of the key, which differs between types.
+    if [left.schema[k].dataType for k in on] != [right.schema[k].dataType for k in on]:
+        raise ValueError(f"the keys {on} must have the same types on both sides")
     if how in ("inner", "left_semi"):
         left = left.dropna(subset=on)
     hot = hot_keys(left, on, min_rows) if hot is None else hot
-    parts = fan_out(left)
-    dealt = F.pmod(F.spark_partition_id(), F.col("_ways"))
+    if not hot:
+        return left.join(right, on, how)
+    ways = F.broadcast(left.sparkSession.createDataFrame(list(hot.items()), "_hash bigint, _ways int"))
     # A null key matches nothing, so such rows may go anywhere.
     unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    salt = (
-        F.when(F.col("_ways").isNotNull(), dealt)
-        .when(unmatched, F.pmod(F.spark_partition_id(), F.lit(parts)))
-        .otherwise(0)
+    salts = F.when(unmatched, fan_out(left)).otherwise(F.coalesce("_ways", F.lit(1)))
+    dealt = (
+        left.withColumn("_hash", key_hash(on))
+        .join(ways, "_hash", "left")
+        .withColumn("_salt", F.pmod(F.spark_partition_id(), salts))
+        .drop("_hash", "_ways")
     )
-    salted = left.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_ways")
     repeated = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1)))
-        .drop("_ways")
+        right.withColumn("_hash", key_hash(on))
+        .join(ways, "_hash", "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1)))
+        .drop("_hash", "_ways")
     )
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")

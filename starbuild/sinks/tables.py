@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import as_struct
-from ..operators.incremental import matched_keys, new_rows, require_unique, upsert
+from ..operators.incremental import like, matched_keys, new_rows, require_unique, upsert
 from ..operators.lookup import within
 from ..operators.quality import require_empty
 from ..session import materialize
@@ -133,7 +133,7 @@ def merge_into(
     target = spark.table(table)
     update = [c for c in target.columns if c not in keys] if update is None else list(update)
     # Used several times below, and it may come from a long plan: store it once.
-    source = materialize(source.select(*target.columns))
+    source = materialize(like(source, target))
     if check:
         require_unique(source, keys, null_safe)
     small = within(source, INCREMENT_ROWS)

@@ -42,7 +42,7 @@ from starbuild.plans.schemas import (
     ZONES_BODY,
 )
 from starbuild.plans.staging import StagingTables, buckets_of, stage_children, zones_of
-from starbuild.session import scratch_path
+from starbuild.session import materialize, scratch_path
 from starbuild.sinks import ensure_table, merge_into, overwrite
 from starbuild.sources import parse_json, parse_responses, union_pages
 
@@ -301,7 +301,7 @@ def null_key_lookup(spark, sf_dir):
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders in the shape of activities; columns without a counterpart are null."""
+    """Orders in the shape of activities, stored like a staging table; columns without a counterpart are null."""
     orders = skew_join(table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), places(spark, sf_dir), ["c_custkey"])
     given = {
         "id": F.col("o_orderkey"),
@@ -317,7 +317,7 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "start_date_local": iso("o_orderdate"),
     }
     names = [f.name for f in spark.createDataFrame([], ACTIVITY).schema.fields]
-    return conform(orders.select(*[given.get(c, F.lit(None)).alias(c) for c in names]), ACTIVITY)
+    return materialize(conform(orders.select(*[given.get(c, F.lit(None)).alias(c) for c in names]), ACTIVITY))
 
 
 def zone(spark: SparkSession, sf_dir: str) -> DataFrame:
