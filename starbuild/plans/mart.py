@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,6 +120,8 @@ def build_mart(
         spec_violations(bucket_counts(zone, bucket), "type", "bucket_count", spec.types, allow_extra),
         "zone types do not fit the fact",
     )
+    if not doubled_zones(zone).isEmpty():
+        warnings.warn("activities have several zones of one type; the fact adds up their buckets", stacklevel=2)
     fact = build_fact(activity, zone, bucket, sport_type, geography, time, spec)
     return overwrite(fact, mart.activity, allow_schema_change=True, root=root)
 
