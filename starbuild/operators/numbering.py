@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ def surrogate_key(df: DataFrame, name: str, order: Sequence[str], dtype: str = "
 
     Equal to `row_number()` over one global window, but sorted by range partitions: a row's number
     is its place in its partition plus the size of all earlier partitions. The placed rows are
-    checkpointed, so that sizes and places come from one and the same partitioning.
+    stored, so that sizes and places come from one and the same partitioning. Only the partition
+    sizes, one number per partition, come to the driver.
     """
     placed = materialize(
         df.repartitionByRange(*order)
@@ -31,16 +33,10 @@ def surrogate_key(df: DataFrame, name: str, order: Sequence[str], dtype: str = "
     )
     part = F.shiftright("_at", PLACE_BITS)
     place = F.col("_at").bitwiseAND((1 << PLACE_BITS) - 1)
-    # One row per partition, so the unpartitioned window and the broadcast are both small.
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        placed.groupBy(part.alias("_part"))
-        .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    )
-    return placed.join(F.broadcast(before), part == F.col("_part")).select(
-        (F.col("_before") + place + 1).cast(dtype).alias(name), *df.columns
-    )
+    sizes = dict(placed.groupBy(part).count().collect())
+    starts = accumulate((sizes.get(p, 0) for p in range(max(sizes, default=0))), initial=0)
+    before = F.element_at(F.expr(f"array({', '.join(f'{n}L' for n in starts)})"), (part + 1).cast("int"))
+    return placed.select((before + place + 1).cast(dtype).alias(name), *df.columns)
 
 
 def rank_in_group(

@@ -90,6 +90,6 @@ def stage_children(
     answered = responses.join(pending, "activity_id", "left_semi")
     # Three tables come from it; parse the bodies once.
     parsed = materialize(parse_responses(answered, "activity_id", ZONES_BODY, "zones"))
-    merge_into(tables.no_zone, empty_keys(parsed, "activity_id", "zones"), ["activity_id"], update=[], root=root)
+    merge_into(tables.no_zone, empty_keys(parsed, "activity_id", "zones").distinct(), ["activity_id"], update=[], root=root)
     merge_into(tables.bucket, buckets_of(parsed), BUCKET_KEY, update=["time"], null_safe=null_safe, root=root)
     merge_into(tables.zone, zones_of(parsed), ZONE_KEY, root=root)
