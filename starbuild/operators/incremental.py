@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .quality import require_empty
-from .skew import skew_join
+from .skew import hot_keys, skew_join
 
 
 def pending_keys(parent: DataFrame, key: str, *loaded: tuple[DataFrame, str]) -> DataFrame:
@@ -83,6 +83,21 @@ def updated_rows(
     )
 
 
+def merged_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], null_safe: bool = False
+) -> DataFrame:
+    """The rows of `updated_rows` and `new_rows` in one full outer join: each side is shuffled once."""
+    changes = source.select(*[F.col(c).alias(f"_v_{c}") for c in source.columns], F.lit(True).alias("_hit"))
+    old = target.withColumn("_old", F.lit(True))
+    joined = old.join(changes, _on(old, changes, keys, [f"_v_{k}" for k in keys], null_safe), "full")
+
+    def value(c: str) -> Column:
+        new = F.col("_hit") if c in update else F.col("_old").isNull()
+        return F.when(new, F.col(f"_v_{c}")).otherwise(F.col(c)).alias(c)
+
+    return joined.select(*[value(c) for c in target.columns])
+
+
 def like(source: DataFrame, target: DataFrame) -> DataFrame:
     """The columns of `target`, in its order and types."""
     return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
@@ -113,5 +128,8 @@ def upsert(
     source = like(source, target)
     if check:
         require_unique(source, keys, null_safe)
+    # A full outer join cannot deal out a hot key, so it is for targets (and null keys) without one.
+    if update and not small and not (hot_keys(target, keys) or hot_keys(source, keys)):
+        return merged_rows(target, source, keys, update, null_safe)
     kept = updated_rows(target, source, keys, update, null_safe, small) if update else target
     return kept.unionByName(new_rows(target, source, keys, null_safe, small))

@@ -45,6 +45,7 @@ def rank_in_group(
     order: Sequence[str],
     name: str = "rank",
     keep: int | None = None,
+    hot: dict[int, int] | None = None,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add `row_number()` within `group` by ascending `order`.
@@ -52,11 +53,12 @@ def rank_in_group(
     With `keep`, only ranks up to `keep` are returned, and Spark cuts each group to `keep` rows
     before it shuffles, so no group can grow large. Without it every row is kept: groups beyond
     an average partition's share are sorted over several tasks, the others by the plain window.
+    `hot` may bring the `hot_keys` of `group` when they are known.
     """
     row_number = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     if keep is not None:
         return df.withColumn(name, row_number).filter(F.col(name) <= keep)
-    hot = hot_keys(df, group, min_rows)
+    hot = hot_keys(df, group, min_rows) if hot is None else hot
     if not hot:
         return df.withColumn(name, row_number)
     large = key_hash(group).isin(*hot)

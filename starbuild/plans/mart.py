@@ -14,7 +14,7 @@ from ..operators.lookup import dropped_by_lookup, left_enrich, lookup
 from ..operators.numbering import rank_in_group
 from ..operators.pivot import PivotSpec, pivot_children
 from ..operators.quality import duplicate_types, require_empty, spec_violations
-from ..operators.skew import hot_keys
+from ..operators.skew import HOT_ROWS, hot_keys
 from ..sinks import overwrite
 from .schemas import (
     GEOGRAPHY,
@@ -60,15 +60,27 @@ def bucket_counts(zone: DataFrame, bucket: DataFrame) -> DataFrame:
     )
 
 
-def zones_with_buckets(zone: DataFrame, bucket: DataFrame, max_rank: int) -> DataFrame:
-    """Zones joined with their buckets, the buckets ranked by `min`; zones without any drop out."""
-    ranked = rank_in_group(bucket, ZONE_KEY, ["min", "max", "time"], "rank", keep=max_rank)
+def zones_with_buckets(zone: DataFrame, bucket: DataFrame, max_rank: int, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Zones joined with their buckets, the buckets ranked by `min`; zones without any drop out.
+
+    As a rule both tables are partitioned by activity once, which serves the ranking, this join,
+    the pivot and the join with the activities. When an activity is too large for that, each zone
+    is instead cut to `max_rank` buckets before the shuffle, and each step partitions by its own key.
+    """
+    key, order = ["activity_id"], ["min", "max", "time"]
+    if hot_keys(bucket, key, min_rows) or hot_keys(zone, key, min_rows):
+        ranked = rank_in_group(bucket, ZONE_KEY, order, keep=max_rank)
+    else:
+        zone = zone.repartition(*key)
+        ranked = rank_in_group(bucket.repartition(*key), ZONE_KEY, order, hot={})
     return zone.join(ranked, ZONE_KEY, "inner")
 
 
-def zone_columns(zone: DataFrame, bucket: DataFrame, spec: PivotSpec = ZONE_SPEC) -> DataFrame:
+def zone_columns(
+    zone: DataFrame, bucket: DataFrame, spec: PivotSpec = ZONE_SPEC, min_rows: int = HOT_ROWS
+) -> DataFrame:
     """One row per activity with the columns of `spec`."""
-    return pivot_children(zones_with_buckets(zone, bucket, spec.max_rank), "activity_id", spec)
+    return pivot_children(zones_with_buckets(zone, bucket, spec.max_rank, min_rows), "activity_id", spec)
 
 
 def build_fact(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from starbuild.functions import date_parts, label_nulls
 from starbuild.operators.conform import cast_failures, conform
 from starbuild.operators.dims import date_dim, date_dim_over, dimension
-from starbuild.operators.incremental import pending_keys, upsert
+from starbuild.operators.incremental import merged_rows, new_rows, pending_keys, updated_rows, upsert
 from starbuild.operators.lookup import dropped_by_lookup, lookup
 from starbuild.operators.nested import empty_keys, explode_indexed, explode_inner, flatten_structs
 from starbuild.operators.pivot import PivotSpec, discover_types, pivot_children, pivot_values
@@ -255,3 +255,24 @@ def test_upsert_of_a_frame_derived_from_the_target(spark):
     once = upsert(t, source, ["k"])
     assert rows(once) == [(1, "a", 10), (2, "b", 21)]
     assert rows(upsert(once, source, ["k"])) == rows(once)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_the_two_ways_to_merge_agree(spark, null_safe):
+    t = spark.range(0, 60).select(
+        F.when(F.col("id") % 7 != 0, F.col("id")).alias("k"), (F.col("id") % 5).alias("g"), F.lit("old").alias("v"), F.col("id").alias("n")
+    )
+    source = spark.range(40, 90).select(
+        F.when(F.col("id") != 50, F.col("id")).alias("k"), (F.col("id") % 5).alias("g"),
+        F.when(F.col("id") % 3 != 0, "new").alias("v"), (F.col("id") * 2).alias("n"),
+    )
+    for update in (["v", "n"], ["v"]):
+        one = merged_rows(t, source, ["k", "g"], update, null_safe)
+        two = updated_rows(t, source, ["k", "g"], update, null_safe).unionByName(new_rows(t, source, ["k", "g"], null_safe))
+        assert one.columns == t.columns and rows(one) == rows(two)
+
+
+def test_upsert_with_a_hot_target_key(spark, monkeypatch):
+    monkeypatch.setattr("starbuild.operators.incremental.hot_keys", lambda df, keys: {1: 4})
+    source = spark.createDataFrame([(2, None, 21), (3, "c", 30)], "k int, v string, n int")
+    assert rows(upsert(target(spark), source, ["k"])) == [(1, "a", 10), (2, None, 21), (3, "c", 30), (None, "n", 0)]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starbuild.operators.quality import QualityError
-from starbuild.plans.mart import MartTables, build_mart, doubled_zones, labelled, lookup_losses
+from starbuild.plans.mart import MartTables, build_mart, doubled_zones, labelled, lookup_losses, zone_columns
 from starbuild.plans.profile import profile
 from starbuild.plans.schemas import ACTIVITY, MEASURES, RESPONSE, ZONE_SPEC
 from starbuild.plans.staging import StagingTables, activities, stage_activity, stage_athlete, stage_children
@@ -279,3 +279,21 @@ def test_profile(load):
     assert found["buckets_per_zone_by_type"] == [("heartrate", 5, 2), ("power", 11, 1)]
     assert len(found["range_counts"]) == 16 and ("heartrate", 0, 10, 1, 2) in found["range_counts"]
     assert len(found["range_counts_top"]) == 16 and found["doubled_zones"] == []
+
+
+def test_zone_columns_of_large_activities(load, spark):
+    """Both ways to place the rows give the same columns."""
+    bucket = spark.range(0, 900).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 40).cast("bigint").alias("activity_id"),
+        (F.col("id") % 2).cast("int").alias("zone_seq_no"),
+        (F.col("id") % 97).cast("int").alias("min"),
+        F.col("id").cast("int").alias("max"),
+        (F.col("id") * 3).cast("int").alias("time"),
+    )
+    zones = bucket.select("activity_id", "zone_seq_no").distinct().select(
+        "*", F.lit(1).alias("score"), F.when(F.col("zone_seq_no") == 0, "power").otherwise("heartrate").alias("type"),
+        F.lit(2).alias("resource_state"), F.lit(True).alias("sensor_based"), F.lit(3).alias("points"), F.lit(False).alias("custom_zones"),
+    )
+    usual = zone_columns(zones, bucket)
+    large = zone_columns(zones, bucket, min_rows=50)
+    assert rows(usual) == rows(large) and len(usual.columns) == 61
