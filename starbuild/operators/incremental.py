@@ -128,8 +128,12 @@ def upsert(
     source = like(source, target)
     if check:
         require_unique(source, keys, null_safe)
-    # A full outer join cannot deal out a hot key, so it is for targets (and null keys) without one.
-    if update and not small and not (hot_keys(target, keys) or hot_keys(source, keys)):
-        return merged_rows(target, source, keys, update, null_safe)
+    # A full outer join cannot deal out a hot key, so it is for targets without one.
+    if update and not small and not hot_keys(target, keys):
+        if null_safe:
+            return merged_rows(target, source, keys, update, null_safe)
+        # Null keys match nothing; beside the join they cannot all meet in one task.
+        unmatched = source.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+        return merged_rows(target, source.dropna(subset=list(keys)), keys, update).unionByName(unmatched)
     kept = updated_rows(target, source, keys, update, null_safe, small) if update else target
     return kept.unionByName(new_rows(target, source, keys, null_safe, small))
