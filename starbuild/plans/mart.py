@@ -68,7 +68,7 @@ def zones_with_buckets(zone: DataFrame, bucket: DataFrame, max_rank: int, min_ro
     is instead cut to `max_rank` buckets before the shuffle, and each step partitions by its own key.
     """
     key, order = ["activity_id"], ["min", "max", "time"]
-    if hot_keys(bucket, key, min_rows) or hot_keys(zone, key, min_rows):
+    if hot_keys(bucket.select(key).unionByName(zone.select(key)), key, min_rows):
         ranked = rank_in_group(bucket, ZONE_KEY, order, keep=max_rank)
     else:
         zone = zone.repartition(*key)
