@@ -57,7 +57,9 @@ def rank_in_group(
     """
     row_number = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     if keep is not None:
-        return df.withColumn(name, row_number).filter(F.col(name) <= keep)
+        cut_up_to = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+        ranked = df.withColumn(name, row_number) if keep <= cut_up_to else rank_in_group(df, group, order, name, None, hot, min_rows)
+        return ranked.filter(F.col(name) <= keep)
     hot = hot_keys(df, group, min_rows) if hot is None else hot
     if not hot:
         return df.withColumn(name, row_number)

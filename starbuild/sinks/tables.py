@@ -49,7 +49,8 @@ def _replace(df: DataFrame, table: str, root: str | None, partition_by: Sequence
     folder = _new_folder(spark, table, root)
     df.write.partitionBy(*partition_by).parquet(folder)
     known = spark.catalog.tableExists(table)
-    if known and not partition_by and not _partition_columns(spark, table) and _columns(spark.table(table).schema) == _columns(df.schema):
+    partitioned = partition_by or (known and _partition_columns(spark, table))
+    if known and not partitioned and _columns(spark.table(table).schema) == _columns(df.schema):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         return
     if known:

@@ -110,6 +110,11 @@ def test_rank_keep(skewed):
     assert bag(found) == bag(plain_rank(skewed, ["k"], ["v", "w"]).filter("rank <= 3"))
 
 
+def test_rank_keep_beyond_what_spark_cuts(skewed):
+    found = rank_in_group(skewed, ["k"], ["v", "w"], keep=1005, min_rows=100)
+    assert bag(found) == bag(plain_rank(skewed, ["k"], ["v", "w"]).filter("rank <= 1005"))
+
+
 def test_surrogate_key_equals_global_row_number(spark):
     df = spark.range(0, 5000).select(
         F.when(F.col("id") % 3 != 0, F.concat(F.lit("p"), F.col("id") % 11)).alias("a"), F.col("id").alias("b")
