@@ -34,7 +34,7 @@ from starbuild.llm.tokens import TOKENIZER, pieces_of, vocabulary_path
 CAPACITY = 4096
 END_ID = 1
 #: (rounds, how strongly a weight follows what is covered); the driver solves with each and keeps the fewest sequences.
-TRIES = ((4, 0.02), (12, 0.3))
+TRIES = ((1, 0.0), (6, 0.0), (4, 0.02), (12, 0.3))
 SLACK = 0.02
 CACHE_ENTRIES = 300_000
 
