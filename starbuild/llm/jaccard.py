@@ -36,7 +36,7 @@ from starbuild.llm.graph import components
 COMMON_HASHES = 200_000
 COMMON_FROM = 16
 #: Part of a document's hashes, from the smallest, that is looked through for common ones.
-LOOKED_THROUGH = 0.4
+LOOKED_THROUGH = 0.25
 FLUSH = 2_000_000
 WORD_CACHE = 500_000
 WEIGHTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -197,33 +197,36 @@ def join_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     prefixed = materialize(prefixes(docs, common_hashes(docs)))
     named = prefixed.where("doc_id is not null and n > 0")
     heads = named.groupBy("sig").agg(
-        F.min("doc_id").alias("head"), F.first("n").alias("n"), F.first("prefix_sig").alias("prefix_sig"), F.first("prefix").alias("prefix")
+        F.min("doc_id").alias("head"), F.first("n").alias("n"), F.first("prefix_sig").alias("prefix_sig")
     )
     heads = materialize(heads)
     members = prefixed.select("doc_id", "n", "sig").join(heads.select("sig", "head"), "sig", "left")
 
-    in_groups = heads.select("head", "n", "prefix_sig")
-    groups = heads.groupBy("prefix_sig", "n").agg(F.min("head").alias("id"), F.first("prefix").alias("prefix"))
-    entries = groups.select("prefix_sig", "id", "n", F.posexplode("prefix").alias("place", "hash"))
+    groups = heads.groupBy("prefix_sig", "n").agg(F.min("head").alias("id"))
+    in_groups = materialize(heads.join(groups, ["prefix_sig", "n"]).select("id", "n", "head"))
+    # One row of each group brings its prefix along.
+    heads_of = groups.select(F.col("id").alias("doc_id"), F.col("prefix_sig").alias("own_sig"))
+    once = named.select("doc_id", "n", "prefix_sig", "prefix").join(heads_of, "doc_id").where("prefix_sig = own_sig")
+    entries = once.select(F.col("doc_id").alias("id"), F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("place", "hash"))
     shared = Window.partitionBy("hash")
     lists = materialize(entries.withColumn("size", F.count("*").over(shared)).where("size > 1").drop("size"))
 
     first = neighbours(lists, ["hash"]).union(
-        neighbours(in_groups.select("prefix_sig", F.col("head").alias("id"), "n"), ["prefix_sig", "n"])
+        neighbours(in_groups.select(F.col("id").alias("group"), F.col("head").alias("id"), "n"), ["group", "n"])
     )
     first = materialize(first.distinct())
-    ids = lists.select("prefix_sig", "n").distinct().join(in_groups, ["prefix_sig", "n"]).select("head")
+    ids = lists.select("id", "n").distinct().join(in_groups, ["id", "n"]).select("head")
     ids = ids.union(first.select("a")).union(first.select("b")).distinct()
     texts = materialize(docs.join(ids, docs["doc_id"] == ids["head"], "left_semi"))
     links = materialize(verified(first, texts))
 
     labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     placed = in_groups.join(labels, F.col("head") == F.col("node"), "left").select(
-        "prefix_sig", "n", "head", F.coalesce("component", "head").alias("component")
+        "id", "n", "head", F.coalesce("component", "head").alias("component")
     )
     placed = materialize(placed)
     # Lists and groups that still hold several components.
-    listed = lists.drop("id").join(placed, ["prefix_sig", "n"])
+    listed = lists.join(placed, ["id", "n"])
     mixed = listed.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     open_lists = materialize(listed.join(mixed.select("hash"), "hash"))
 
@@ -235,10 +238,10 @@ def join_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     most = F.least(F.col("n") - F.col("place"), F.col("n_2") - F.col("place_2"))
     enough = (100 + SIMILARITY_PERCENT) * most >= SIMILARITY_PERCENT * (F.col("n") + F.col("n_2"))
-    split = placed.groupBy("prefix_sig", "n").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_groups = placed.join(split.where("low <> high").select("prefix_sig", "n"), ["prefix_sig", "n"])
+    split = placed.groupBy("id", "n").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_groups = placed.join(split.where("low <> high").select("id", "n"), ["id", "n"])
     rest = across(open_lists.select("hash", "n", "place", "head", "component"), ["hash"], sizes_fit("n", "n_2") & enough)
-    rest = rest.union(across(open_groups, ["prefix_sig", "n"], None)).distinct()
+    rest = rest.union(across(open_groups, ["id", "n"], None)).distinct()
     more = verified(rest.join(first, ["a", "b"], "left_anti"), texts)
     return members, materialize(links.union(more))
 

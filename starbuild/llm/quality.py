@@ -246,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
     rows = rows.select("quality", F.xxhash64("doc_id", "text").alias("key"), "text")
     found = rows.mapInPandas(pool, "quality int, key long, x binary").orderBy("key", "x").limit(sample).toPandas()
-    x = np.array([np.frombuffer(b, np.float32) for b in found["x"]]).reshape(len(found), -1).astype(np.float64)
+    x = np.array([np.frombuffer(b, np.float32) for b in found["x"]]).reshape(len(found), 3 * WIDTH + 6).astype(np.float64)
     return vectors, fit(x, found["quality"].to_numpy(np.float64))
 
 
