@@ -8,11 +8,12 @@ hashes (fewer words: the whole sequence as one). Two documents link at a Jaccard
 2. *Prefix.* A linked pair shares one of the first n - ceil(0.8 n) + 1 hashes of either document.
 3. *Groups.* Equal sets fall together first. Then documents with identical prefix and size are one group, and only groups
    are indexed under their prefix hashes.
-4. *Chain.* In each list of the index, and in each group, neighbours by size are compared exactly and linked.
-5. *Rest.* Lists and groups that still hold more than one component: all group pairs across components that pass
-   the size and position filters are expanded to members and compared. A linked pair is either found here or
-   already connected, so components lose nothing, while a group of thousands of near copies costs its length and not
-   its square.
+4. *Chain and pivots.* In each list of the index, and in each group, neighbours by size are compared exactly and linked;
+   then, a few times over, all members of a list with one of them.
+5. *Rest.* Lists and groups that still hold more than one component: all group pairs across components are expanded to
+   members, filtered by size and by how many prefix hashes they share, and compared. A linked pair is either found
+   here or already connected, so components lose nothing, while a group of thousands of near copies costs about its length
+   and not its square.
 
 Defined results: null, empty and blank texts have size 0 and are linked with nothing. doc_id is the identity: rows with
 one doc_id are one node, linked by any of their texts; each keeps its own row and size. A null doc_id is linked
@@ -35,9 +36,15 @@ from starbuild.llm.graph import components
 #: Hashes known as common. Bounds the table each task holds (16 bytes each); the others keep their place by value.
 COMMON_HASHES = 200_000
 COMMON_FROM = 16
-#: Part of a document's hashes, from the smallest, that is looked through for common ones.
-LOOKED_THROUGH = 0.25
-FLUSH = 2_000_000
+#: Leading bits of a hash that are counted; hashes that share them are common together, which only changes their place.
+COUNTED_BITS = 40
+FLUSH = 3_000_000
+#: Rounds in which the members of each list are compared with one of them.
+PIVOT_ROUNDS = 1
+#: Likeliest partners that a document is compared with first in each other component.
+BEST_PARTNERS = 2
+#: A pair is worth a comparison in these rounds when it meets in so many of the lists it must share.
+PIVOT_SHARE = 4
 WORD_CACHE = 500_000
 WEIGHTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -78,8 +85,18 @@ def linked(both: int, a: int, b: int) -> bool:
     return 100 * both >= SIMILARITY_PERCENT * (a + b - both)
 
 
+def planes(ascending: np.ndarray) -> bytes:
+    """Steps between ascending numbers, byte by byte of significance: the upper bytes are nearly all 0 and shrink."""
+    steps = np.diff(ascending, prepend=np.uint64(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def from_planes(held: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(held, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def common_hashes(docs: DataFrame, bound: int = COMMON_HASHES) -> pd.DataFrame:
-    """hash, n of the hashes in the most documents (at least COMMON_FROM), as many as `bound`."""
+    """lead, n: the leading bits of the hashes in the most documents (at least COMMON_FROM), as many as `bound`."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,48 +104,53 @@ def common_hashes(docs: DataFrame, bound: int = COMMON_HASHES) -> pd.DataFrame:
 
         def flush() -> pd.DataFrame:
             value, n = np.unique(np.concatenate(held), return_counts=True)
-            bucket = ((value >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            bucket = (value * np.uint64(buckets)) >> np.uint64(COUNTED_BITS)
             cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
             spans = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            low, high = (n & 0xFF).astype(np.uint8), (n >> 8).astype("<u4")
             return pd.DataFrame(
                 {
                     "bucket": [i for i, *_ in spans],
-                    "hashes": [value[a:b].tobytes() for _, a, b in spans],
-                    # runs of equal counts are short in bytes: one for nearly all
-                    "counts": [np.minimum(n[a:b], 2**32 - 1).astype("<u4").tobytes() for _, a, b in spans],
+                    "leads": [planes(value[a:b]) for _, a, b in spans],
+                    "counts": [low[a:b].tobytes() for _, a, b in spans],
+                    "more": [high[a:b].tobytes() if high[a:b].any() else b"" for _, a, b in spans],
                 }
             )
 
         for batch in batches:
             for text in batch["text"]:
-                own = shingles(text)
-                if len(own):
-                    held.append(own[: int(len(own) * LOOKED_THROUGH) + 1])
-                    size += len(held[-1])
+                own = shingles(text) >> np.uint64(64 - COUNTED_BITS)
+                held.append(own)
+                size += len(own)
                 if size >= FLUSH:
                     yield flush()
                     held, size = [], 0
-        if held:
+        if size:
             yield flush()
 
     def summed(part: pd.DataFrame) -> pd.DataFrame:
-        value = np.concatenate([np.frombuffer(x, np.uint64) for x in part["hashes"]])
-        n = np.concatenate([np.frombuffer(x, "<u4") for x in part["counts"]]).astype(np.int64)
+        value = np.concatenate([from_planes(x) for x in part["leads"]])
+        n = np.concatenate([np.frombuffer(x, np.uint8) for x in part["counts"]]).astype(np.int64)
+        at = 0
+        for more, low in zip(part["more"], part["counts"], strict=True):
+            if more:
+                n[at : at + len(low)] += np.frombuffer(more, "<u4").astype(np.int64) << 8
+            at += len(low)
         order = np.argsort(value, kind="stable")
         value, n = value[order], n[order]
         first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]]) if len(value) else np.empty(0, int)
         n = np.add.reduceat(n, first) if len(first) else n
         often = n >= COMMON_FROM
-        return pd.DataFrame({"hash": value[first][often].view(np.int64), "n": n[often]})
+        return pd.DataFrame({"lead": value[first][often].astype(np.int64), "n": n[often]})
 
-    parts = docs.select("text").mapInPandas(counted, "bucket int, hashes binary, counts binary")
-    often = parts.groupBy("bucket").applyInPandas(summed, "hash long, n long")
-    return often.orderBy(F.desc("n"), "hash").limit(bound).toPandas()
+    parts = docs.select("text").mapInPandas(counted, "bucket int, leads binary, counts binary, more binary")
+    often = parts.groupBy("bucket").applyInPandas(summed, "lead long, n long")
+    return often.orderBy(F.desc("n"), "lead").limit(bound).toPandas()
 
 
 def prefixes(docs: DataFrame, common: pd.DataFrame) -> DataFrame:
     """doc_id, n, sig (of the set), prefix_sig, prefix of every row."""
-    value = common["hash"].to_numpy(np.int64).view(np.uint64)
+    value = common["lead"].to_numpy(np.int64).astype(np.uint64)
     by_value = np.argsort(value)
     value, often = value[by_value], common["n"].to_numpy(np.int64)[by_value]
 
@@ -144,8 +166,9 @@ def prefixes(docs: DataFrame, common: pd.DataFrame) -> DataFrame:
                 sig = xxhash.xxh3_128_digest(own.tobytes())
                 keep = n - needed(n) + 1
                 if len(value):
-                    at = np.minimum(np.searchsorted(value, own), len(value) - 1)
-                    rank = np.where(value[at] == own, often[at], 0)
+                    lead = own >> np.uint64(64 - COUNTED_BITS)
+                    at = np.minimum(np.searchsorted(value, lead), len(value) - 1)
+                    rank = np.where(value[at] == lead, often[at], 0)
                     if rank.any():
                         own = own[np.argsort(rank, kind="stable")]
                 own = own[:keep]
@@ -159,11 +182,9 @@ def prefixes(docs: DataFrame, common: pd.DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of doc_ids whose texts link; `texts` may have several rows of one doc_id."""
     kind = dict(pairs.dtypes)["a"]
-    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id"))
-    sides = sides.join(texts, "doc_id").select("a", "b", (F.col("doc_id") == F.col("a")).alias("first"), "text")
-    left = sides.where("first").select("a", "b", F.col("text").alias("left"))
-    right = sides.where("not first").select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("text").alias("right"))
-    both = left.join(right, (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2"))).select("a", "b", "left", "right")
+    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
+    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b")
+    both = both.select("a", "b", "left", "right")
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -181,12 +202,23 @@ def sizes_fit(a: Column | str, b: Column | str) -> Column:
     return (100 * F.least(a, b) >= SIMILARITY_PERCENT * F.greatest(a, b)) & (F.least(a, b) > 0)
 
 
+def shared_least(a: Column | str, b: Column | str) -> Column:
+    """How many hashes the prefixes of linked sets of these sizes share at least.
+
+    Up to the end of the prefix that ends first in the order, shared hashes are in both prefixes; after it that set has
+    only ceil(0.8 n) - 1 hashes left.
+    """
+    a, b = F.col(a), F.col(b)
+    overlap = F.ceil(SIMILARITY_PERCENT * (a + b) / (100 + SIMILARITY_PERCENT))
+    return F.greatest(overlap - F.ceil(SIMILARITY_PERCENT * F.greatest(a, b) / 100) + 1, F.lit(1))
+
+
 def neighbours(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Pairs a < b of rows that stand side by side under `key`, by size."""
+    """Pairs a < b of rows that stand side by side under `key`, by size, with their sizes."""
     window = Window.partitionBy(*key).orderBy("n", "id")
     side = rows.select("id", "n", F.lag("id").over(window).alias("other"), F.lag("n").over(window).alias("m"))
     side = side.where(F.col("other").isNotNull() & (F.col("other") != F.col("id")) & sizes_fit("n", "m"))
-    return side.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+    return side.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "n", "m")
 
 
 def join_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -211,16 +243,44 @@ def join_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = Window.partitionBy("hash")
     lists = materialize(entries.withColumn("size", F.count("*").over(shared)).where("size > 1").drop("size"))
 
-    first = neighbours(lists, ["hash"]).union(
-        neighbours(in_groups.select(F.col("id").alias("group"), F.col("head").alias("id"), "n"), ["group", "n"])
+    # A pair that is side by side in few of its lists is left to the last step, which decides exactly.
+    beside = neighbours(lists, ["hash"]).groupBy("a", "b").agg(
+        F.count("*").alias("lists"), F.max("n").alias("n"), F.max("m").alias("m")
     )
-    first = materialize(first.distinct())
+    beside = beside.where(PIVOT_SHARE * F.col("lists") >= shared_least("n", "m")).select("a", "b")
+    within = neighbours(in_groups.select(F.col("id").alias("group"), F.col("head").alias("id"), "n"), ["group", "n"])
+    first = materialize(beside.union(within.select("a", "b")).distinct())
     ids = lists.select("id", "n").distinct().join(in_groups, ["id", "n"]).select("head")
     ids = ids.union(first.select("a")).union(first.select("b")).distinct()
     texts = materialize(docs.join(ids, docs["doc_id"] == ids["head"], "left_semi"))
     links = materialize(verified(first, texts))
 
-    labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    def labelled() -> DataFrame:
+        return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+    labels = labelled()
+    for turn in range(PIVOT_ROUNDS):
+        own = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        pivots = own.groupBy("hash").agg(
+            F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "n", "component")).alias("pivot"),
+            (F.min("component") < F.max("component")).alias("mixed"),
+        )
+        met = own.join(pivots.where("mixed").select("hash", "pivot"), "hash").select(
+            F.least("id", "pivot.id").alias("a"),
+            F.greatest("id", "pivot.id").alias("b"),
+            "n",
+            F.col("pivot.n").alias("m"),
+            (F.col("component") != F.col("pivot.component")).alias("apart"),
+        )
+        met = met.where("apart").where(sizes_fit("n", "m")).groupBy("a", "b").agg(
+            F.count("*").alias("lists"), F.max("n").alias("n"), F.max("m").alias("m")
+        )
+        met = met.where(PIVOT_SHARE * F.col("lists") >= shared_least("n", "m")).select("a", "b")
+        more = materialize(verified(met, texts))
+        if more.isEmpty():
+            break
+        links = materialize(links.union(more))
+        labels = labelled()
     placed = in_groups.join(labels, F.col("head") == F.col("node"), "left").select(
         "id", "n", "head", F.coalesce("component", "head").alias("component")
     )
@@ -230,19 +290,36 @@ def join_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     mixed = listed.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     open_lists = materialize(listed.join(mixed.select("hash"), "hash"))
 
-    def across(rows: DataFrame, key: list[str], fits: Column | None) -> DataFrame:
+    def across(rows: DataFrame, key: list[str]) -> DataFrame:
         other = rows.select(*[F.col(k) if k in key else F.col(k).alias(f"{k}_2") for k in rows.columns])
-        pairs = rows.join(other, key).where((F.col("component") < F.col("component_2")))
-        pairs = pairs.where(fits) if fits is not None else pairs
-        return pairs.select(F.least("head", "head_2").alias("a"), F.greatest("head", "head_2").alias("b"))
+        return rows.join(other, key).where((F.col("component") < F.col("component_2")) & sizes_fit("n", "n_2"))
 
-    most = F.least(F.col("n") - F.col("place"), F.col("n_2") - F.col("place_2"))
-    enough = (100 + SIMILARITY_PERCENT) * most >= SIMILARITY_PERCENT * (F.col("n") + F.col("n_2"))
+    ends = F.least("head", "head_2").alias("a"), F.greatest("head", "head_2").alias("b")
+    sides = "head", "component", "head_2", "component_2"
+    rest = across(open_lists.select("hash", "n", "head", "component"), ["hash"])
+    rest = rest.groupBy(*sides).agg(F.count("*").alias("lists"), F.max("n").alias("n"), F.max("n_2").alias("m"))
+    rest = rest.where(F.col("lists") >= shared_least("n", "m")).select(*sides, "lists")
     split = placed.groupBy("id", "n").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_groups = placed.join(split.where("low <> high").select("id", "n"), ["id", "n"])
-    rest = across(open_lists.select("hash", "n", "place", "head", "component"), ["hash"], sizes_fit("n", "n_2") & enough)
-    rest = rest.union(across(open_groups, ["id", "n"], None)).distinct()
-    more = verified(rest.join(first, ["a", "b"], "left_anti"), texts)
+    same = placed.join(split.where("low <> high").select("id", "n"), ["id", "n"])
+    other = same.select("id", "n", F.col("head").alias("head_2"), F.col("component").alias("component_2"))
+    inside = same.join(other, ["id", "n"]).where("component < component_2").select(*sides, F.lit(1).alias("lists"))
+    rest = materialize(rest.union(inside))
+    # The likeliest partners first: most documents are connected by them, and need no other comparison.
+    best = F.row_number().over(Window.partitionBy("head", "component_2").orderBy(F.desc("lists"), "head_2"))
+    back = F.row_number().over(Window.partitionBy("head_2", "component").orderBy(F.desc("lists"), "head"))
+    near = rest.withColumn("best", best).where(F.col("best") <= BEST_PARTNERS).select(*ends)
+    near = near.union(rest.withColumn("best", back).where(F.col("best") <= BEST_PARTNERS).select(*ends)).distinct()
+    links = materialize(links.union(verified(near, texts)))
+    labels = labelled()
+    apart = (
+        rest.select("head", "head_2")
+        .join(labels.select(F.col("node").alias("head"), F.col("component").alias("c")), "head", "left")
+        .join(labels.select(F.col("node").alias("head_2"), F.col("component").alias("c_2")), "head_2", "left")
+        .where(~F.coalesce("c", "head").eqNullSafe(F.coalesce("c_2", "head_2")))
+        .select(*ends)
+        .distinct()
+    )
+    more = verified(apart.join(near, ["a", "b"], "left_anti"), texts)
     return members, materialize(links.union(more))
 
 
