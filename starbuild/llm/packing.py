@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
@@ -29,27 +30,47 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starbuild.llm.common import materialize, ship
-from starbuild.llm.tokens import TOKENIZER, pieces_of, vocabulary_path
+from starbuild.llm.tokens import TOKENIZER, merger, pieces_of, vocabulary_path
 
 CAPACITY = 4096
 END_ID = 1
 #: (rounds, how strongly a weight follows what is covered); the driver solves with each and keeps the fewest sequences.
 TRIES = ((1, 0.0), (6, 0.0), (4, 0.02), (12, 0.3))
 SLACK = 0.02
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
 
 
 class PieceEncoder:
-    """Token ids of texts as little-endian 32-bit bytes, from the library's ids of each distinct white-space-free run."""
+    """Token ids of texts as little-endian 32-bit bytes.
+
+    The library encodes each distinct pre-token once; a piece without white space is its pre-tokens in turn.
+    """
 
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
+        self.cutter = merger(path)
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.cache_entries = cache_entries
 
+    def ids(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def learn(self, pieces: list[str]) -> None:
+        if len(self.words) > self.cache_entries:
+            self.words.clear()
+        special = [x for x in pieces if "<" in x]
+        self.known.update(zip(special, self.ids(special), strict=True))
+        cut = {x: self.cutter.cut(x) for x in pieces if "<" not in x}
+        words = self.words
+        new = list({w for own in cut.values() for w in own}.difference(words))
+        words.update(zip(new, self.ids(new), strict=True))
+        self.known.update((x, b"".join(map(words.__getitem__, own))) for x, own in cut.items())
+
     def encode(self, text: str) -> bytes:
         pieces, known = pieces_of(text), self.known
         new = list(set(pieces).difference(known))
@@ -57,8 +78,7 @@ class PieceEncoder:
             if len(known) + len(new) > self.cache_entries:
                 known.clear()
                 new = list(set(pieces))
-            found = self.library.encode_batch_fast(new, add_special_tokens=False)
-            known.update((x, np.asarray(e.ids, "<u4").tobytes()) for x, e in zip(new, found, strict=True))
+            self.learn(new)
         return b"".join(map(known.__getitem__, pieces))
 
 

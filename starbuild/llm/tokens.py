@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from starbuild.llm.common import ship
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 SHIFT = 20
 #: Characters that Python's split() takes as white space and the tokenizer's patterns do not.
 ODD_SPACE = regex.compile("[\x1c-\x1f]")
@@ -111,12 +111,16 @@ class PairMerger:
         symbols.append(self.last[raw[-1]])
         return self.merge_count([s for s in symbols if s is not None])
 
-    def plain_count(self, piece: str) -> int:
-        """Tokens of a piece without special strings."""
+    def cut(self, piece: str) -> list[str]:
+        """The pre-tokens of a piece without special strings."""
         normal = unicodedata.normalize("NFC", piece)
         lower = "".join(c.lower() for c in normal) if "Σ" in normal else normal.lower()  # no final sigma
+        return self.word.findall(lower)
+
+    def plain_count(self, piece: str) -> int:
+        """Tokens of a piece without special strings."""
         total = 0
-        for word in self.word.findall(lower):
+        for word in self.cut(piece):
             n = self.words.get(word)
             if n is None:
                 if len(self.words) >= self.cache_entries:
