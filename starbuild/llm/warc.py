@@ -16,6 +16,7 @@ back with a null id. Empty tables give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 from urllib.parse import quote, unquote, urlsplit
@@ -74,10 +75,9 @@ def safe_uri(url: Column) -> Column:
 
 
 def write(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None:
-    """Write the records of `pages` as WARC files under `path`."""
-    records(pages, least).select("record").write.option("lineSep", END + END).option(
-        "maxRecordsPerFile", RECORDS_PER_FILE
-    ).text(path)
+    """Write the records of `pages` as compressed WARC files under `path`."""
+    out = records(pages, least).select("record").write.option("lineSep", END + END)
+    out.option("maxRecordsPerFile", RECORDS_PER_FILE).option("compression", "gzip").text(path)
 
 
 def parsed(content: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -123,7 +123,7 @@ def index(spark: SparkSession, path: str, kind: str = "long") -> DataFrame:
         for batch in batches:
             for file, content in zip(batch["path"], batch["content"], strict=True):
                 rows = []
-                for at, length, head, payload in parsed(content):
+                for at, length, head, payload in parsed(gzip.decompress(content)):
                     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                     size = int(head["WARC-Payload-Length"])
                     if head["WARC-Type"] == "response" and hashlib.sha1(payload).hexdigest() != digest:
