@@ -18,11 +18,16 @@ def con():
     return duck(SF_DIR)
 
 
+#: Of the loads and their operators; tests/llm has the others.
+OWN = sorted(name for name in driver.queries() if name.startswith("q_"))
+
+
 def test_every_query_has_its_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert set(OWN) <= driver.oracle_sql().keys()
+    assert driver.oracle_sql().keys() <= driver.queries().keys()
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     found = driver.queries()[name](spark, SF_DIR)
     assert differences(found, con, driver.oracle_sql()[name]) == []
