@@ -57,18 +57,17 @@ def uniform_group_violations(sizes: DataFrame, type_column: str) -> DataFrame:
 
 
 def spec_violations(
-    sizes: DataFrame, type_column: str, size_column: str, types: Mapping[str, int], allow_extra: bool = False
+    sizes: DataFrame, type_column: str, size_column: str, types: Mapping[str, int]
 ) -> DataFrame:
     """Types that a pivot over `types` cannot take, each with the reason.
 
-    A type is refused when it is null or has groups of different size and, unless
-    `allow_extra`, when it is not declared or has more rows than declared.
+    A type is refused when it is null, has groups of different size, is not declared or has more
+    rows than declared.
     """
     declared = F.create_map(*[F.lit(v) for pair in types.items() for v in pair]) if types else None
     limit = F.try_element_at(declared, F.col(type_column)) if types else F.lit(None).cast("int")
     reason = F.when(F.col(type_column).isNull(), "null type").when(F.col("sizes") > 1, "groups of different size")
-    if not allow_extra:
-        reason = reason.when(limit.isNull(), "type not declared").when(F.col("largest") > limit, "more rows than declared")
+    reason = reason.when(limit.isNull(), "type not declared").when(F.col("largest") > limit, "more rows than declared")
     return (
         sizes.groupBy(type_column)
         .agg(F.count("*").alias("sizes"), F.max(size_column).alias("largest"))

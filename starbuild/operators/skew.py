@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 # Below this many rows a key is left alone: one task handles it easily.
 HOT_ROWS = 100_000
-# Items the sketch tracks per key it may report, and the most it can track.
-TRACKED, MOST_TRACKED = 16, 1_000_000
+# Keys a bucket's sketch may report, and the items it tracks. A bucket is a shuffle partition's share of the keys.
+REPORTED, TRACKED = 16, 256
 # Salts per partition's share of a hot key: salted keys are placed by hash, and smaller pieces even out better.
 SALTS = 4
 
@@ -27,17 +27,23 @@ def key_hash(keys: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> dict[int, int]:
     """Keys holding more than an average partition's share of `df`: key hash to number of salts.
 
-    One pass with a heavy-hitter sketch and no shuffle by key. With P shuffle partitions at most P
-    keys can hold more than 1/P of the rows, so the answer is small whatever the size of `df`. It
+    One pass: keys fall into P buckets, and each bucket has a small heavy-hitter sketch of its own, so
+    that no task merges more than one bucket's sketches. With P shuffle partitions at most P keys
+    can hold more than 1/P of the rows, so the answer is small whatever the size of `df`. It
     is an estimate, used only to place rows: which keys it lists never changes a result.
     """
     parts = fan_out(df)
-    tracked = min(TRACKED * parts, MOST_TRACKED)
-    sketch = F.expr(f"approx_top_k(_hash, {min(parts, tracked)}, {tracked})")
-    top, total = df.select(key_hash(keys).alias("_hash")).agg(sketch, F.count("*")).first()
+    hashed = df.select(key_hash(keys).alias("_hash"))
+    buckets = (
+        hashed.groupBy(F.pmod("_hash", F.lit(parts)).alias("_bucket"))
+        .agg(F.expr(f"approx_top_k(_hash, {REPORTED}, {TRACKED})").alias("top"), F.count("*").alias("n"))
+        .collect()
+    )
+    total = sum(b["n"] for b in buckets)
+    top = [x for b in buckets for x in b["top"]]
     return {
         item: SALTS * min(-(-n * parts // total), parts)
-        for item, n in top or []
+        for item, n in top
         if n > min_rows and n * parts > total
     }
 
@@ -53,8 +59,8 @@ def skew_join(
     """Equi-join of `left` with a `right` that holds about one row per key.
 
     Without hot keys this is the plain join. Otherwise the rows of a hot left key are dealt over
-    several salts by the input partition they come from (which a retried task reproduces), and
-    the right row is repeated once per salt, a few repeats per shuffle partition in all.
+    several salts by a hash of their other columns and the input partition they come from (which a
+    retried task reproduces), and the right row is repeated once per salt, a few repeats per shuffle partition in all.
     The rows are those of the plain join; only their placement differs.
 
     `hot` may be passed when the keys can be counted on a frame that is cheaper to read.
@@ -72,13 +78,15 @@ def skew_join(
     if not hot:
         return left.join(right, on, how)
     ways = F.broadcast(left.sparkSession.createDataFrame(list(hot.items()), "_hash bigint, _ways int"))
+    other = [f.name for f in left.schema.fields if f.name not in on and "map<" not in f.dataType.simpleString()]
+    spread = F.xxhash64(F.spark_partition_id(), *other)
     # A null key matches nothing, so such rows may go anywhere.
     unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     salts = F.when(unmatched, fan_out(left)).otherwise(F.coalesce("_ways", F.lit(1)))
     dealt = (
         left.withColumn("_hash", key_hash(on))
         .join(ways, "_hash", "left")
-        .withColumn("_salt", F.pmod(F.spark_partition_id(), salts))
+        .withColumn("_salt", F.pmod(spread, salts))
         .drop("_hash", "_ways")
     )
     repeated = (

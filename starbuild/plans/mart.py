@@ -60,16 +60,16 @@ def bucket_counts(zone: DataFrame, bucket: DataFrame) -> DataFrame:
     )
 
 
-def zones_with_buckets(zone: DataFrame, bucket: DataFrame, max_rank: int, min_rows: int = HOT_ROWS) -> DataFrame:
+def zones_with_buckets(zone: DataFrame, bucket: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """Zones joined with their buckets, the buckets ranked by `min`; zones without any drop out.
 
     As a rule both tables are partitioned by activity once, which serves the ranking, this join,
-    the pivot and the join with the activities. When an activity is too large for that, each zone
-    is instead cut to `max_rank` buckets before the shuffle, and each step partitions by its own key.
+    the pivot and the join with the activities. When an activity is too large for that, each step
+    partitions by its own key. The rows are the same.
     """
     key, order = ["activity_id"], ["min", "max", "time"]
     if hot_keys(bucket.select(key).unionByName(zone.select(key)), key, min_rows):
-        ranked = rank_in_group(bucket, ZONE_KEY, order, keep=max_rank)
+        ranked = rank_in_group(bucket, ZONE_KEY, order)
     else:
         zone = zone.repartition(*key)
         ranked = rank_in_group(bucket.repartition(*key), ZONE_KEY, order, hot={})
@@ -80,7 +80,7 @@ def zone_columns(
     zone: DataFrame, bucket: DataFrame, spec: PivotSpec = ZONE_SPEC, min_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One row per activity with the columns of `spec`."""
-    return pivot_children(zones_with_buckets(zone, bucket, spec.max_rank, min_rows), "activity_id", spec)
+    return pivot_children(zones_with_buckets(zone, bucket, min_rows), "activity_id", spec)
 
 
 def build_fact(
@@ -114,14 +114,12 @@ def build_mart(
     spec: PivotSpec = ZONE_SPEC,
     calendar: tuple[str, str] = CALENDAR,
     fill_country: bool = False,
-    allow_extra: bool = False,
     root: str | None = None,
 ) -> DataFrame:
     """Rebuild the three dimensions and the fact from the staging tables.
 
     They are one load: surrogate keys are numbered anew each time. The load stops before the fact
-    if a zone type is null, has zones of different bucket counts, or does not fit `spec`
-    (unless `allow_extra`, which cuts what `spec` does not name).
+    if a zone type is null, has zones of different bucket counts, or does not fit `spec`.
     """
     activity = labelled(spark.table(staging.activity), fill_country)
     zone, bucket = spark.table(staging.zone), spark.table(staging.bucket)
@@ -129,7 +127,7 @@ def build_mart(
     geography = overwrite(dimension(activity, "sk_geography", GEOGRAPHY, GEOGRAPHY_ORDER), mart.geography, root=root)
     time = overwrite(date_dim(spark, *calendar), mart.time, root=root)
     require_empty(
-        spec_violations(bucket_counts(zone, bucket), "type", "bucket_count", spec.types, allow_extra),
+        spec_violations(bucket_counts(zone, bucket), "type", "bucket_count", spec.types),
         "zone types do not fit the fact",
     )
     if not doubled_zones(zone).isEmpty():

@@ -46,6 +46,10 @@ def _new_folder(spark: SparkSession, table: str, root: str | None) -> str:
 
 def _replace(df: DataFrame, table: str, root: str | None, partition_by: Sequence[str]) -> None:
     spark = df.sparkSession
+    if not partition_by and spark.catalog.tableExists(table):
+        # A partitioned table stays so, as long as its columns are there.
+        kept = _partition_columns(spark, table)
+        partition_by = kept if set(kept) <= set(df.columns) else ()
     folder = _new_folder(spark, table, root)
     df.write.partitionBy(*partition_by).parquet(folder)
     known = spark.catalog.tableExists(table)

@@ -231,13 +231,6 @@ def test_fact_gate(load, answers, reason):
         load.fact()
 
 
-def test_fact_may_cut_what_is_not_declared(load):
-    load.activities([record(1)])
-    load.answers([(1, 200, [zone("heartrate", 7), zone("speed", 2)])])
-    found = load.fact(allow_extra=True).first()
-    assert (found["time_heartrate5"], found["zone_type_heartrate"]) == (400, "heartrate")
-
-
 def test_fact_with_fewer_buckets_than_declared(load):
     load.activities([record(1)])
     load.answers([(1, 200, [zone("heartrate", 3)])])
