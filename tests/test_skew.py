@@ -128,3 +128,26 @@ def test_surrogate_key_equals_global_row_number(spark):
 
 def test_surrogate_key_of_nothing(spark):
     assert surrogate_key(spark.createDataFrame([], "a string"), "sk", ["a"]).count() == 0
+
+
+def test_hot_keys_are_found_bucket_by_bucket(spark):
+    """No task merges the sketches of all input tasks: the exchange is by bucket."""
+    df = spark.range(0, 400_000, 1, 16).withColumn("k", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")))
+    found = hot_keys(df, ["k"], 1000)
+    assert list(found) == [spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]]
+
+
+def test_a_hot_key_is_dealt_out_after_a_shuffle_by_it(spark):
+    left = spark.range(0, 60_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.range(0, 60_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before, adaptive = spark.conf.get(setting), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set(setting, "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = skew_join(left.repartition(8, "k"), right, ["k"], min_rows=1000)
+        assert joined.count() == 60_000
+        assert joined.where("k = 7").groupBy(F.spark_partition_id()).count().count() > 1
+    finally:
+        spark.conf.set(setting, before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
