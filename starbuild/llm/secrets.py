@@ -150,10 +150,10 @@ def listed(found: Column) -> Column:
 
 def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """`docs` with `found`: the spans of all rules by start, then rule."""
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    hits = candidates(postings(keyed.select("row_key", "text"), rules), rules)
+    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
+    hits = candidates(postings(keyed.select(F.col("_row_key").alias("row_key"), "text"), rules), rules)
     hits = hits.withColumnRenamed("row_key", "_hit_key")
-    joined = keyed.join(hits, F.col("row_key") == F.col("_hit_key"), "left")
+    joined = keyed.join(hits, F.col("_row_key") == F.col("_hit_key"), "left")
     empty = F.array().cast("array<struct<start:int,kind_order:int,kind:string,end:int>>")
     text = F.coalesce(F.col("text"), F.lit(""))
     parts = []
