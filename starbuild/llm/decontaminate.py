@@ -11,7 +11,7 @@ sides have sketches of different kinds under one hash order:
 * documents are partitioned by size. For each power of two the largest k-th hash of the items that can be contained in a
   document of that size is known (at most 32 numbers); a document keeps its hashes up to its partition's number.
 
-Equal hashes give candidates. They are verified by the exact shingles, as strings.
+Equal hashes give candidates. They are verified by the exact shingles, looked for in the document as strings.
 
 Defined results: an item with fewer than five words is looked for as a run of that many words; items and documents
 without words match nothing, nor do null texts. Items with equal shingle sets are searched once and reported each.
@@ -46,6 +46,11 @@ def words_of(text: Column) -> Column:
     )
 
 
+def plain(text: Column) -> Column:
+    """The words of `text`, each between spaces: it holds a run of words exactly when the run, between spaces, is part of it."""
+    return F.concat(F.lit(" "), F.array_join(words_of(text), " "), F.lit(" "))
+
+
 def runs_of(words: Column, width: Column | int) -> Column:
     """The distinct runs of `width` words, as strings."""
     return F.when(
@@ -143,17 +148,18 @@ def contaminated(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADC
         return docs.sparkSession.createDataFrame([], f"{kinds}, n_item_shingles int, n_shared long, containment double")
     candidates = materialize(found.select("doc_id", "row_key", "set_id", "width").distinct())
 
-    wanted = candidates.select("doc_id", "row_key", "width").distinct()
+    wanted = candidates.select("doc_id", "row_key").distinct()
     texts = docs.select("doc_id", F.xxhash64("text").alias("row_key"), "text").join(wanted, ["doc_id", "row_key"])
-    runs = texts.select(
-        "doc_id", "row_key", "width", F.explode_outer(runs_of(words_of(F.col("text")), F.col("width"))).alias("shingle")
+    texts = texts.select("doc_id", "row_key", plain(F.col("text")).alias("plain"))
+    item_runs = sets.where("item_id = set_id").select(
+        "set_id", "q", "need", F.transform("shingles", lambda s: F.concat(F.lit(" "), s, F.lit(" "))).alias("runs")
     )
-    item_runs = sets.where("item_id = set_id").select("set_id", "width", "q", "need", F.explode("shingles").alias("shingle"))
     item_runs = F.broadcast(item_runs) if small else item_runs
+    n_shared = F.size(F.filter("runs", lambda run: F.contains(F.col("plain"), run))).cast("long")
     shared = (
-        runs.join(item_runs, ["width", "shingle"])
-        .groupBy("doc_id", "row_key", "set_id", "q", "need")
-        .agg(F.countDistinct("shingle").alias("n_shared"))
+        texts.join(candidates, ["doc_id", "row_key"])
+        .join(item_runs, "set_id")
+        .select("doc_id", "set_id", "q", "need", n_shared.alias("n_shared"))
         .where("n_shared >= need")
         .groupBy("doc_id", "set_id", "q")
         .agg(F.max("n_shared").alias("n_shared"))
