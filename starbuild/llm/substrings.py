@@ -13,10 +13,12 @@ searched and never changed. Empty tables give no rows; extra columns are ignored
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-import regex
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,31 +30,31 @@ SPAN_WORDS = 20
 LONG_WORDS = 24
 #: One word in so many ends a piece of a long sentence.
 CUT_ONE_IN = 8
-SENTENCE = regex.compile(r"[^\s][^\n]*?(?:[.!?]+(?=\s)|(?=\n)|$)")
-WORD = regex.compile(r"\S+")
+#: Up to signs that white space or the end of the line follows; signs within a word are part of the sentence.
+SENTENCE = re.compile(r"\S[^.!?]*(?:[.!?]+(?=[^\s.!?])[^.!?]*)*[.!?]*")
+WORD = re.compile(r"\S+")
 
 
 def sentences(text: str) -> list[tuple[int, int, int, bytes]]:
     """Start, end, number of words and hash of each sentence, in code points."""
-    out = []
-    at, n = 0, len(text)
+    out, digest = [], xxhash.xxh3_128_digest
+    at = 0
     for line in text.split("\n"):
         end_line = at + len(line)
         for m in SENTENCE.finditer(line):
             start, end = m.span()
             words = m.group().lower().split()
-            if len(words) <= LONG_WORDS:
-                if words:
-                    out.append((at + start, at + end, len(words), xxhash.xxh3_128_digest(" ".join(words))))
+            n = len(words)
+            if n <= LONG_WORDS:
+                out.append((at + start, at + end, n, digest(" ".join(words))))
                 continue
-            held, first = [], None
-            for w in WORD.finditer(line, start, end):
-                first = w.start() if first is None else first
-                word = w.group().lower()
-                held.append(word)
-                if xxhash.xxh3_64_intdigest(word) % CUT_ONE_IN == 0 or w.end() >= end:
-                    out.append((at + first, at + w.end(), len(held), xxhash.xxh3_128_digest(" ".join(held))))
-                    held, first = [], None
+            first = 0
+            bounds = [w.span() for w in WORD.finditer(line, start, end)]
+            for i, word in enumerate(words):
+                if i + 1 == n or xxhash.xxh3_64_intdigest(word) % CUT_ONE_IN == 0:
+                    piece = words[first : i + 1]
+                    out.append((at + bounds[first][0], at + bounds[i][1], len(piece), digest(" ".join(piece))))
+                    first = i + 1
         at = end_line + 1
     return out
 
@@ -60,32 +62,42 @@ def sentences(text: str) -> list[tuple[int, int, int, bytes]]:
 def spans(text: str) -> list[tuple[int, int, int, int, bytes]]:
     """First and last sentence, start, end and hash of the span that begins at each sentence and has enough after it."""
     found = sentences(text)
-    out, last, words = [], -1, 0
-    for first in range(len(found)):
-        while last + 1 < len(found) and (words < SPAN_WORDS or last - first + 1 < SPAN_SENTENCES):
+    out, last, words, n = [], -1, 0, len(found)
+    digest, marks = xxhash.xxh3_128_digest, [s[3] for s in found]
+    for first, (start, _, own, _) in enumerate(found):
+        while last + 1 < n and (words < SPAN_WORDS or last - first + 1 < SPAN_SENTENCES):
             last += 1
             words += found[last][2]
         if words < SPAN_WORDS or last - first + 1 < SPAN_SENTENCES:
             break
-        key = xxhash.xxh3_128_digest(b"".join(s[3] for s in found[first : last + 1]))
-        out.append((first, last, found[first][0], found[last][1], key))
-        words -= found[first][2]
+        out.append((first, last, start, found[last][1], digest(b"".join(marks[first : last + 1]))))
+        words -= own
     return out
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """doc_id, first, last, start, stop, h1, h2 of every span."""
     ship(docs.sparkSession)
-    columns = ["doc_id", "first", "last", "start", "stop", "h1", "h2"]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (doc_id, a, b, s, e, int.from_bytes(k[:8], "little", signed=True), int.from_bytes(k[8:], "little", signed=True))
-                for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True)
-                for a, b, s, e, k in spans(text)
-            ]
-            yield pd.DataFrame(rows, columns=columns)
+            places, keys, each = array("q"), [], []
+            for text in batch["text"]:
+                own = spans(text)
+                each.append(len(own))
+                for a, b, start, stop, key in own:
+                    places.extend((a, b, start, stop))
+                    keys.append(key)
+            at = np.frombuffer(places, np.int64).astype(np.int32).reshape(-1, 4)
+            key = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
+            yield pd.DataFrame(
+                {
+                    "doc_id": batch["doc_id"].repeat(each).to_numpy(),
+                    **{c: at[:, i] for i, c in enumerate(("first", "last", "start", "stop"))},
+                    "h1": key[:, 0],
+                    "h2": key[:, 1],
+                }
+            )
 
     kind = dict(docs.dtypes)["doc_id"]
     named = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
