@@ -33,6 +33,22 @@ def _can_fail(source: T.DataType, target: T.DataType) -> bool:
     return not isinstance(source, (T.ArrayType, T.StructType, T.MapType))
 
 
+INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _cast(source: Column, present: T.DataType, target: T.DataType) -> Column:
+    """`source` as `target`, null where it cannot be: 3.0 is an integer, as number or text, and 1.7 is none."""
+    value = source.try_cast(target)
+    if not isinstance(target, INTEGERS):
+        return value
+    if isinstance(present, T.StringType):
+        exact = source.try_cast(T.DecimalType(38, 10))
+        return F.coalesce(value, F.when(exact == F.floor(exact), exact.try_cast(target)))
+    if isinstance(present, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return F.when(source == F.floor(source), value)
+    return value
+
+
 def conform(df: DataFrame, schema: T.StructType | str, mode: str = "strict") -> DataFrame:
     """Select and cast the columns of `schema`, in its order; other columns are dropped.
 
@@ -51,7 +67,7 @@ def conform(df: DataFrame, schema: T.StructType | str, mode: str = "strict") ->
         if not _can_fail(present[field.name], field.dataType):
             value = source if present[field.name] == field.dataType else source.cast(field.dataType)
         else:
-            value = source.try_cast(field.dataType)
+            value = _cast(source, present[field.name], field.dataType)
             if mode == "strict":
                 text = f"column {field.name}: value cannot be cast to {field.dataType.simpleString()}"
                 value = F.coalesce(value, _refuse(source.isNotNull(), text))
@@ -72,6 +88,7 @@ def cast_failures(df: DataFrame, schema: T.StructType | str) -> DataFrame:
         if not _can_fail(present[field.name], field.dataType):
             return F.lit(0).cast("bigint").alias(field.name)
         source = _source(field.name)
-        return F.count_if(source.isNotNull() & source.try_cast(field.dataType).isNull()).alias(field.name)
+        value = _cast(source, present[field.name], field.dataType)
+        return F.count_if(source.isNotNull() & value.isNull()).alias(field.name)
 
     return df.agg(*[failures(f) for f in schema.fields])

@@ -67,14 +67,17 @@ def pivot_children(df: DataFrame, key: str, spec: PivotSpec) -> DataFrame:
     return df.groupBy(key).agg(*spec.aggregates())
 
 
-def discover_types(sizes: DataFrame, type_column: str, size_column: str, max_types: int = 1_000) -> dict[str, int]:
+def discover_types(
+    sizes: DataFrame, type_column: str, size_column: str, max_types: int | None = None
+) -> dict[str, int]:
     """Read `PivotSpec.types` from a frame of (type, group size): the largest size per type.
 
-    Only the distinct types come to the driver; more than `max_types` of them is an error.
+    Only the distinct types come to the driver, as many as the pivot has groups of columns. With `max_types`, more
+    of them than that is an error.
     """
     largest = sizes.groupBy(type_column).agg(F.max(size_column).alias("_size"))
-    rows = largest.limit(max_types + 1).collect()
-    if len(rows) > max_types:
+    rows = (largest if max_types is None else largest.limit(max_types + 1)).collect()
+    if max_types is not None and len(rows) > max_types:
         raise ValueError(f"more than {max_types} types, too many to make columns of")
     if any(row[0] is None for row in rows):
         raise ValueError("a null type cannot name columns")

@@ -46,10 +46,10 @@ def read_schema(schema: T.StructType | str, sep: str = ".") -> T.StructType:
 def read_pages(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """All records of a folder of page files, each a JSON array; an empty array gives no rows.
 
-    Duplicates between pages are kept. With `schema` the files are read once; without it, Spark
-    reads them a first time to infer one.
+    Duplicates between pages are kept. A page that is cut off or no JSON stops the load. With `schema` the files are
+    read once; without it, Spark reads them a first time to infer one.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
@@ -68,6 +68,13 @@ def parse_responses(
 ) -> DataFrame:
     """Key and parsed body of the successful responses.
 
-    Other responses leave no trace, so their keys are still pending in the next load.
+    Other responses leave no trace, so their keys are still pending in the next load. Where `schema` is an array, a
+    body that is none stops the load, naming its key: Spark would make one element of it.
     """
-    return responses.filter(F.col(status) == SUCCESS).select(key, parse_json(body, schema).alias(value))
+    found = responses.filter(F.col(status) == SUCCESS)
+    kind = schema if isinstance(schema, str) else schema.simpleString()
+    if kind.strip().lower().startswith("array"):
+        text = F.col(body)
+        stop = F.raise_error(F.concat(F.lit(f"{key} "), F.col(key).cast("string"), F.lit(": the body is not an array")))
+        found = found.withColumn(body, F.when(text.isNull() | F.ltrim(text).startswith("["), text).otherwise(stop))
+    return found.select(key, parse_json(body, schema).alias(value))

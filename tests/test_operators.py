@@ -274,3 +274,12 @@ def test_upsert_with_a_hot_target_key(spark, monkeypatch):
     monkeypatch.setattr("starbuild.operators.incremental.hot_keys", lambda df, keys: {1: 4})
     source = spark.createDataFrame([(2, None, 21), (3, "c", 30)], "k int, v string, n int")
     assert rows(upsert(target(spark), source, ["k"])) == [(1, "a", 10), (2, None, 21), (3, "c", 30), (None, "n", 0)]
+
+
+def test_conform_keeps_fractions_out_of_integers(spark):
+    whole = spark.createDataFrame([(3.0, "3.0"), (None, " 4 ")], "a double, b string")
+    assert rows(conform(whole, "a int, b bigint")) == rows(spark.createDataFrame([(3, 3), (None, 4)], "a int, b bigint"))
+    odd = spark.createDataFrame([(1.7, "1.7"), (float("nan"), "x"), (1e30, "")], "a double, b string")
+    assert [tuple(r) for r in cast_failures(odd, "a int, b int").collect()] == [(3, 3)]
+    with pytest.raises(Exception, match="column a: value cannot be cast"):
+        conform(odd, "a int").collect()

@@ -12,7 +12,7 @@ from starbuild.plans.mart import MartTables, build_mart, doubled_zones, labelled
 from starbuild.plans.profile import profile
 from starbuild.plans.schemas import ACTIVITY, MEASURES, RESPONSE, ZONE_SPEC
 from starbuild.plans.staging import StagingTables, activities, stage_activity, stage_athlete, stage_children
-from starbuild.sources import read_pages, union_pages
+from starbuild.sources import parse_responses, read_pages, union_pages
 
 
 def rows(df):
@@ -290,3 +290,19 @@ def test_zone_columns_of_large_activities(load, spark):
     usual = zone_columns(zones, bucket)
     large = zone_columns(zones, bucket, min_rows=50)
     assert rows(usual) == rows(large) and len(usual.columns) == 61
+
+
+def test_a_page_cut_off_stops_the_load(spark, tmp_path):
+    (tmp_path / "page=1.json").write_text('[{"id": 1}, {"id": 2}]')
+    assert rows(read_pages(spark, str(tmp_path), schema="id string")) == [("1",), ("2",)]
+    (tmp_path / "page=2.json").write_text('[{"id": 3}, {"id": 4')
+    with pytest.raises(Exception):
+        read_pages(spark, str(tmp_path), schema="id string").collect()
+
+
+def test_a_body_that_is_no_array_stops_the_load(spark):
+    answers = spark.createDataFrame([(7, 200, ' [{"score": 1}]'), (8, 200, "[]"), (9, 429, "{}")], "id int, status int, body string")
+    assert rows(parse_responses(answers, "id", "array<struct<score:int>>", "zones")) == [(7, [(1,)]), (8, [])]
+    with pytest.raises(Exception, match="id 5: the body is not an array"):
+        message = spark.createDataFrame([(5, 200, '{"message": "x"}')], answers.schema)
+        parse_responses(message, "id", "array<struct<score:int>>", "zones").collect()

@@ -35,3 +35,22 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert len(driver.entry(spark).columns) == 86
+
+
+def test_fact_and_pivots_hold_every_line(spark, con):
+    """The cells of the wide results add up to the totals of the table."""
+    quantity, suppliers = con.execute("select sum(cast(l_quantity as int)), sum(l_suppkey) from lineitem").fetchone()
+    kept = con.execute(f"select id from ({driver.oracle_sql()['q_fact']}) f").fetchall()
+    in_fact = con.execute(
+        "select sum(cast(l_quantity as int)) from lineitem where l_orderkey in (select unnest(?))", [[k for (k,) in kept]]
+    ).fetchone()[0]
+
+    def total(name, columns):
+        found = driver.queries()[name](spark, SF_DIR)
+        cells = [c for c in found.columns if columns(c)]
+        row = found.selectExpr(*[f"sum(`{c}`) as `{c}`" for c in cells]).first()
+        return sum(v or 0 for v in row)
+
+    assert 0 < total("q_fact", lambda c: c.startswith("time_")) == in_fact <= quantity
+    assert total("q_pivot_zone", lambda c: c.startswith("l_suppkey_")) == suppliers
+    assert total("q_pivot_builtin", lambda c: c != "l_orderkey") == suppliers

@@ -60,6 +60,18 @@ BUCKETS = """
                  l_linenumber AS min, CAST(l_partkey AS INT) AS max, CAST(l_quantity AS INT) AS time
           FROM lineitem) b
 """
+# Every line in one of 11 or 5 ranges of its zone, empty ranges included.
+RANGED_BUCKETS = """
+    SELECT activity_id, zone_seq_no, slot * 100 AS min, slot * 100 + 100 AS max, coalesce(time, 0) AS time, slot + 1 AS rank
+    FROM (SELECT activity_id, zone_seq_no,
+                 unnest(generate_series(0, CASE zone_seq_no WHEN 0 THEN 10 ELSE 4 END)) AS slot
+          FROM (SELECT DISTINCT l_orderkey AS activity_id, CASE WHEN l_linestatus = 'O' THEN 0 ELSE 1 END AS zone_seq_no
+                FROM lineitem) k) z
+    LEFT JOIN (SELECT l_orderkey AS activity_id, CASE WHEN l_linestatus = 'O' THEN 0 ELSE 1 END AS zone_seq_no,
+                      CAST(l_partkey AS BIGINT) % (CASE WHEN l_linestatus = 'O' THEN 11 ELSE 5 END) AS slot,
+                      sum(CAST(l_quantity AS INT)) AS time
+               FROM lineitem GROUP BY 1, 2, 3) s USING (activity_id, zone_seq_no, slot)
+"""
 ZONE_TYPES = {"power": 11, "heartrate": 5}
 FACT_MEASURES = {
     "distance": "FLOAT", "moving_time": "INT", "elapsed_time": "INT", "total_elevation_gain": "FLOAT",
@@ -94,7 +106,7 @@ def fact() -> str:
     return f"""
         WITH a AS ({ACTIVITY}), st AS ({FACT_SPORT_TYPE}), g AS ({FACT_GEOGRAPHY}), t AS ({CALENDAR}),
              c AS (SELECT activity_id, {cells}
-                   FROM ({ZONES}) z JOIN ({BUCKETS}) b USING (activity_id, zone_seq_no) GROUP BY activity_id)
+                   FROM ({ZONES}) z JOIN ({RANGED_BUCKETS}) b USING (activity_id, zone_seq_no) GROUP BY activity_id)
         SELECT id, {measures}, 0 AS start_hour, 0 AS start_minute, 0 AS start_second,
                sk_sport_type, sk_geography, sk_time, c.* EXCLUDE (activity_id)
         FROM a JOIN st USING (type, sport_type) JOIN g USING (city, state, country)
@@ -228,17 +240,21 @@ ORACLE = {
         FROM ({RANKED}) r
     """,
     "q_pivot_zone": f"""
-        SELECT l_orderkey, {pivot({f: 2 for f in "ANR"}, "l_returnflag", {"status": "l_linestatus", "flag": "l_returnflag"},
-                                  {"l_linenumber": "BIGINT", "l_partkey": "BIGINT"})}
-        FROM ({RANKED}) r WHERE rank <= 2 GROUP BY l_orderkey
+        SELECT l_orderkey, {pivot({f: 7 for f in "ANR"}, "l_returnflag", {"status": "l_linestatus", "flag": "l_returnflag"},
+                                  {"l_suppkey": "BIGINT", "l_partkey": "BIGINT"})}
+        FROM (SELECT *, l_linenumber AS rank FROM lineitem) r GROUP BY l_orderkey
     """,
     "q_pivot_builtin": "SELECT l_orderkey, "
     + ", ".join(
-        f"CAST(sum(l_linenumber) FILTER (l_returnflag = '{f}' AND rank = {i}) AS BIGINT) AS {f}{i}"
+        f"CAST(sum(l_suppkey) FILTER (l_returnflag = '{f}' AND l_linenumber = {i}) AS BIGINT) AS {f}{i}"
         for f in "ANR"
-        for i in (1, 2)
+        for i in range(1, 8)
     )
-    + f" FROM ({RANKED}) r WHERE rank <= 2 GROUP BY l_orderkey",
+    + " FROM lineitem GROUP BY l_orderkey",
+    "q_pivot_discovered": " UNION ALL ".join(
+        f"SELECT l_orderkey, concat('{m}_', l_returnflag, rank) AS cell, CAST({m} AS BIGINT) AS value FROM ({RANKED}) r"
+        for m in ("l_linenumber", "l_partkey")
+    ),
     "q_uniform_groups": """
         SELECT l_returnflag AS zone_type, count(DISTINCT n) AS sizes
         FROM (SELECT l_orderkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2) g

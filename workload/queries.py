@@ -19,12 +19,13 @@ from starbuild.operators.incremental import pending_keys, upsert
 from starbuild.operators.lookup import left_enrich
 from starbuild.operators.nested import empty_keys, explode_indexed, explode_inner, flatten_structs
 from starbuild.operators.numbering import rank_in_group, surrogate_key
-from starbuild.operators.pivot import PivotSpec, pivot_children, pivot_values
+from starbuild.operators.pivot import PivotSpec, discover_types, pivot_children, pivot_values
 from starbuild.operators.quality import (
     count_of_counts,
     duplicate_types,
     group_size_hist,
     group_sizes,
+    require_empty,
     row_counts,
     spec_violations,
     top_rows,
@@ -39,6 +40,7 @@ from starbuild.plans.schemas import (
     GEOGRAPHY_ORDER,
     SPORT_TYPE,
     SPORT_TYPE_ORDER,
+    ZONE_SPEC,
     ZONES_BODY,
 )
 from starbuild.plans.staging import StagingTables, buckets_of, stage_children, zones_of
@@ -51,6 +53,8 @@ QUERIES: dict[str, Query] = {}
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+#: An order has at most so many line numbers.
+LINE_NUMBERS = 7
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -348,15 +352,40 @@ def bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ranged_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line in one of the ranges of its zone: 11 for open lines, 5 for finished ones, empty ranges included."""
+    ranges = F.when(F.col("l_linestatus") == "O", ZONE_SPEC.types["power"]).otherwise(ZONE_SPEC.types["heartrate"])
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("activity_id"),
+        F.when(F.col("l_linestatus") == "O", 0).otherwise(1).alias("zone_seq_no"),
+        ranges.alias("ranges"),
+        F.pmod("l_partkey", ranges).alias("slot"),
+        F.col("l_quantity").cast("int").alias("time"),
+    )
+    times = [F.coalesce(F.sum(F.when(F.col("slot") == i, F.col("time"))), F.lit(0)) for i in range(ZONE_SPEC.max_rank)]
+    zones = lines.groupBy("activity_id", "zone_seq_no", "ranges").agg(F.array(*times).alias("times"))
+    zones = zones.withColumn("times", F.slice("times", F.lit(1), F.col("ranges")))
+    return explode_indexed(zones, ["activity_id", "zone_seq_no"], "times", "slot", "time").select(
+        "activity_id",
+        "zone_seq_no",
+        (F.col("slot") * 100).alias("min"),
+        (F.col("slot") * 100 + 100).alias("max"),
+        F.col("time").cast("int").alias("time"),
+    )
+
+
 @query("q_fact")
 def fact(spark, sf_dir):
-    """The whole mart: three lookups and the pivoted zones, 86 columns."""
+    """The whole mart: three lookups and the pivoted zones, 86 columns. Stops if a zone does not fit its columns."""
     source = activity(spark, sf_dir)
     named = labelled(source)
+    zones, buckets = zone(spark, sf_dir), ranged_bucket(spark, sf_dir)
+    sizes = bucket_counts(zones, buckets)
+    require_empty(spec_violations(sizes, "type", "bucket_count", ZONE_SPEC.types), "zone types do not fit the fact")
     return build_fact(
         named,
-        zone(spark, sf_dir),
-        bucket(spark, sf_dir),
+        zones,
+        buckets,
         dimension(named, "sk_sport_type", SPORT_TYPE, SPORT_TYPE_ORDER),
         dimension(named, "sk_geography", GEOGRAPHY, GEOGRAPHY_ORDER),
         date_dim_over(source, F.col("start_date_local")),
@@ -386,24 +415,40 @@ def rank_in_zone(spark, sf_dir):
 
 @query("q_pivot_zone")
 def pivot_zone(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", *LINE_KEY, "l_quantity", "l_extendedprice")
-    ranked = rank_in_group(lines, ["l_orderkey", "l_returnflag"], LINE_ORDER, keep=2)
+    """Lines by flag and line number, which runs from 1 to 7: every line has its cell."""
     spec = PivotSpec(
-        types={"A": 2, "N": 2, "R": 2},
+        types={flag: LINE_NUMBERS for flag in "ANR"},
         attributes={"status": "l_linestatus", "flag": "l_returnflag"},
-        measures=("l_linenumber", "l_partkey"),
+        measures=("l_suppkey", "l_partkey"),
         type_column="l_returnflag",
+        rank_column="l_linenumber",
     )
-    return pivot_children(ranked, "l_orderkey", spec)
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", *LINE_KEY)
+    return pivot_children(lines, "l_orderkey", spec)
 
 
 @query("q_pivot_builtin")
 def pivot_builtin(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", *LINE_KEY)
+    lines = lines.withColumn("cell", F.concat("l_returnflag", F.col("l_linenumber").cast("string")))
+    cells = [f"{flag}{number}" for flag in "ANR" for number in range(1, LINE_NUMBERS + 1)]
+    return pivot_values(lines, "l_orderkey", "cell", cells, [F.sum("l_suppkey").alias("suppliers")])
+
+
+@query("q_pivot_discovered")
+def pivot_discovered(spark, sf_dir):
+    """A pivot whose columns come from the data, unfolded again, as its columns differ from table to table."""
     lines = table(spark, sf_dir, "lineitem").select("l_returnflag", *LINE_KEY, "l_quantity", "l_extendedprice")
-    ranked = rank_in_group(lines, ["l_orderkey", "l_returnflag"], LINE_ORDER, keep=2)
-    ranked = ranked.withColumn("cell", F.concat("l_returnflag", F.col("rank").cast("string")))
-    cells = [f"{flag}{rank}" for flag in "ANR" for rank in (1, 2)]
-    return pivot_values(ranked, "l_orderkey", "cell", cells, [F.sum("l_linenumber").alias("lines")])
+    sizes = type_sizes(lines, ["l_orderkey"], "l_returnflag")
+    spec = PivotSpec(
+        types=discover_types(sizes, *sizes.columns),
+        attributes={"flag": "l_returnflag"},
+        measures=("l_linenumber", "l_partkey"),
+        type_column="l_returnflag",
+    )
+    ranked = rank_in_group(lines, ["l_orderkey", "l_returnflag"], LINE_ORDER)
+    wide = pivot_children(ranked, "l_orderkey", spec)
+    return wide.unpivot("l_orderkey", spec.measure_columns, "cell", "value").where("value is not null")
 
 
 # --- rules and profiles -------------------------------------------------------------------------
