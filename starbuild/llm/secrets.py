@@ -101,7 +101,8 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
 
     One search gives the matches and one the text before each; their lengths add up to the positions.
     """
-    whole = F.lit(rf"(?s)(.*?)({rule.pattern})")
+    # Each search starts where the last match ended and nowhere else, so what follows the last match is read once.
+    whole = F.lit(rf"(?s)\G(.*?)({rule.pattern})")
     keep = rule.group + 2
 
     def placed(gaps: Column, matches: Column, tested: Column) -> Column:
