@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
@@ -38,12 +37,16 @@ END_ID = 1
 TRIES = ((1, 0.0), (6, 0.0), (4, 0.02), (12, 0.3))
 SLACK = 0.02
 CACHE_ENTRIES = 600_000
+#: Pre-tokens encoded as one string, and characters of text handled at a time.
+JOINED = 1_000
+PORTION_CHARS = 1_000_000
 
 
 class PieceEncoder:
     """Token ids of texts as little-endian 32-bit bytes.
 
-    The library encodes each distinct pre-token once; a piece without white space is its pre-tokens in turn.
+    The library encodes each distinct pre-token once, JOINED of them in one string; a piece without white space is its
+    pre-tokens in turn. A pre-token's last id, and no other, closes a word, which tells the ids of a string apart.
     """
 
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
@@ -52,34 +55,63 @@ class PieceEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.cutter = merger(path)
+        self.closes = np.zeros(self.library.get_vocab_size(with_added_tokens=True), bool)
+        self.closes[self.cutter.closing] = True
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.cache_entries = cache_entries
 
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def learn_words(self, words: list[str]) -> None:
+        parts = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        for part, ids in zip(parts, self.ids([" ".join(x) for x in parts]), strict=True):
+            last = np.flatnonzero(self.closes[ids]) + 1
+            if len(last) == len(part) and last[-1] == len(ids):
+                raw, ends = ids.tobytes(), (4 * last).tolist()
+                each = [raw[i:j] for i, j in zip([0, *ends], ends)]
+            else:
+                each = [x.tobytes() for x in self.ids(part)]
+            self.words.update(zip(part, each, strict=True))
 
     def learn(self, pieces: list[str]) -> None:
-        if len(self.words) > self.cache_entries:
-            self.words.clear()
+        known, words = self.known, self.words
+        if len(words) > self.cache_entries:
+            words.clear()
         special = [x for x in pieces if "<" in x]
-        self.known.update(zip(special, self.ids(special), strict=True))
-        cut = {x: self.cutter.cut(x) for x in pieces if "<" not in x}
-        words = self.words
-        new = list({w for own in cut.values() for w in own}.difference(words))
-        words.update(zip(new, self.ids(new), strict=True))
-        self.known.update((x, b"".join(map(words.__getitem__, own))) for x, own in cut.items())
+        known.update((x, ids.tobytes()) for x, ids in zip(special, self.ids(special), strict=True))
+        cut = [(x, self.cutter.cut(x)) for x in pieces if "<" not in x]
+        self.learn_words(list({w for _, own in cut for w in own}.difference(words)))
+        known.update((x, words[own[0]] if len(own) == 1 else b"".join(map(words.__getitem__, own))) for x, own in cut)
 
     def encode(self, text: str) -> bytes:
-        pieces, known = pieces_of(text), self.known
-        new = list(set(pieces).difference(known))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Texts of one batch, so that what is new in them goes to the library together."""
+        pieces, known = [pieces_of(x) for x in texts], self.known
+        distinct = set().union(*pieces)
+        new = distinct.difference(known)
         if new:
             if len(known) + len(new) > self.cache_entries:
                 known.clear()
-                new = list(set(pieces))
-            self.learn(new)
-        return b"".join(map(known.__getitem__, pieces))
+                new = distinct
+            self.learn(list(new))
+        return [b"".join(map(known.__getitem__, own)) for own in pieces]
+
+
+def portions(texts: list[str], chars: int = PORTION_CHARS) -> Iterator[tuple[int, int]]:
+    """Spans of neighbouring texts of about `chars` characters; a longer text is one alone."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        if i > start and held + len(text) > chars:
+            yield start, i
+            start, held = i, 0
+        held += len(text)
+    if texts:
+        yield start, len(texts)
 
 
 @lru_cache(maxsize=2)
@@ -93,14 +125,15 @@ def cut(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, e
     end, width = np.asarray([end_id], "<u4").tobytes(), 4 * capacity
 
     def cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary_path(tokenizer)).encode
+        encode = encoder(vocabulary_path(tokenizer)).encode_all
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encode(text) + end
-                for i, at in enumerate(range(0, len(ids), width)):
-                    part = ids[at : at + width]
-                    rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part)))
+            rows, doc_ids, texts = [], batch["doc_id"].tolist(), batch["text"].tolist()
+            for low, high in portions(texts):
+                for doc_id, ids in zip(doc_ids[low:high], encode(texts[low:high]), strict=True):
+                    ids += end
+                    for i, at in enumerate(range(0, len(ids), width)):
+                        part = ids[at : at + width]
+                        rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = dict(docs.dtypes)["doc_id"]

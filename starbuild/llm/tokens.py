@@ -70,9 +70,12 @@ class PairMerger:
         end = model["end_of_word_suffix"] or ""
         self.inner = [symbol.get(x) for x in byte_symbols()]
         self.last = [symbol.get(x + end) for x in byte_symbols()]
+        #: Symbols that end a pre-token.
+        self.closing = [i for x, i in symbol.items() if end and x.endswith(end)]
         split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.word = regex.compile(split["pattern"]["Regex"])
         special = sorted((x["content"] for x in spec["added_tokens"]), key=len, reverse=True)
+        self.letters_stay = self.word.findall("abcxyz") == ["abcxyz"]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.words: dict[str, int] = {}
         self.pieces: dict[str, int] = {}
@@ -113,6 +116,8 @@ class PairMerger:
 
     def cut(self, piece: str) -> list[str]:
         """The pre-tokens of a piece without special strings."""
+        if self.letters_stay and piece.isascii() and piece.isalpha():
+            return [piece.lower()]
         normal = unicodedata.normalize("NFC", piece)
         lower = "".join(c.lower() for c in normal) if "Σ" in normal else normal.lower()  # no final sigma
         return self.word.findall(lower)
