@@ -54,6 +54,44 @@ def test_planted_passages_are_found_wherever_they_stand(spark):
     assert {(r["doc_id"], r["kept_in"]) for r in found} == {(1, 0), (3, 2)}
 
 
+def test_every_passage_of_51_words_is_found_at_all_offsets(spark):
+    """51 words of one text inside another, in running text, with no sentence ends, short sentences or other line ends."""
+    r = random.Random(5)
+    rows, want = [], {}
+    for kind, signs in enumerate((["", "", "", "."], [""], ["", "", "", "", "", "", ".", "\n"])):
+        word = lambda signs=signs: "".join(r.choices("abcdefghij", k=r.randint(3, 8))) + r.choice(signs)
+        source = [word() for _ in range(200)]
+        rows.append((1000 * kind, " ".join(source)))
+        for at in range(200 - 51 + 1):
+            passage = source[at : at + 51]
+            here = r.randint(1, 40)
+            text = " ".join([word() for _ in range(here)]) + " " + r.choice([" ", "\n"]).join(w.strip() for w in passage) + " " + " ".join(word() for _ in range(30))
+            rows.append((1000 * kind + 1 + at, text))
+            want[rows[-1][0]] = (here, text.split())
+    text_of = dict(rows)
+    covered = {}
+    for f in repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        before = len(text_of[f["doc_id"]][: f["start"]].split())
+        covered.setdefault(f["doc_id"], set()).update(range(before, before + len(text_of[f["doc_id"]][f["start"] : f["stop"]].split())))
+    runs = {}
+    for d, text in rows:
+        w = text.split()
+        for i in range(len(w) - 19):
+            runs.setdefault(tuple(w[i : i + 20]), set()).add((d, i))
+    repeats = {(d, i + j) for places in runs.values() if len(places) > 1 for d, i in sorted(places)[1:] for j in range(20)}
+    for d, (here, words) in want.items():
+        inner = range(here + 7, here + 51 - 7)
+        assert set(inner) <= covered.get(d, set()), (d, here)
+        assert {(d, i) for i in covered[d]} <= repeats
+
+
+def test_repeats_of_whole_sentences_are_found_whole(spark):
+    ends = "Ab cd ef gh ij kl mn op qr st uv wx yz ba dc fe hg ji lk nm. Po rq ts. Vu xw zy."
+    rows = [(0, f"Other words stand here first. {ends} And after."), (1, f"Not these words. {ends} Nor those\nwords.")]
+    row = repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], rows[1][1][r["start"] : r["stop"]]) for r in row] == [(1, ends)]
+
+
 def test_substrings_of_odd_rows(odd, empty):
     assert removed(odd).columns == odd.columns and removed(odd).count() == odd.count()
     assert repeated(odd).where("doc_id is null").count() == 0
