@@ -1,7 +1,8 @@
 """License scans by canonical digest.
 
-A text is brought to a canonical form: lower case, lines that begin with a copyright notice dropped, equivalent
-spellings made one, everything but letters and digits turned into single spaces. Its SHA-256 is looked up in the digests
+A text is brought to a canonical form: lower case, copyright notices dropped (with a sign or year: to the end of a line
+that begins with one, or within 80 characters before a licence's opening words; lines of the word and a short name),
+equivalent spellings made one, everything but letters and digits turned into single spaces. Its SHA-256 is looked up in the digests
 of known licences by a hash join. Looked up are each document as a whole (a licence file) and each of its lines (a
 notice in a text).
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.llm.common import let
+from starbuild.llm.common import any_of, let
 
 # Public licence notices and texts.
 NOTICES = [
@@ -79,13 +80,41 @@ SPELLINGS = [
     ("organisation", "organization"),
     ("noncommercial", "nc"),
 ]
-COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: Titles that may stand before a text.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("0BSD License", "Zero-Clause BSD", "BSD Zero Clause License", "Zero-Clause BSD License"),
+}
+#: What begins a copyright notice, not a clause such as "copyright holders be liable"; (c) alone may be a list's letter.
+NOTICE = r"(?:\bcopyright[ \t:]*(?:\(c\)|©|[12]\d{3}\b|[<\[{](?:year|yyyy))|(?:\(c\)|©)[ \t]*[12]\d{3}\b)"
+#: A line of a name only: not the words that follow "copyright" in licences.
+NAMED = (
+    r"copyright[ \t]+(?!(?:holder|owner|notice|law|licen[sc]e|statement|interest|protection|disclaimer|treat|right|act)"
+    r"|(?:and|or|on|in|of|to|by|is|as|for|that|are|nor|the(?! regents)|patent|under|with|you|it|this|be|may|shall)\b)"
+    r"(?:[^\s]+[ \t]*){1,8}$"
+)
+#: Where a text begins that may stand behind a notice on the same line.
+OPENING = (
+    r"\s*(?:permission\s+is\s+hereby|permission\s+to\s+use|redistribution\s+and\s+use|this\s+software\s+is\s+provided"
+    r"|licensed\s+under\s+the|everyone\s+is\s+permitted|(?:this|gnomovision|<program>)\s+(?:program|library|comes)\b)"
+)
+#: The foundation's own notice has an address, which changes and may stand on a line of its own.
+FOUNDATION = r"copyright\s+\(c\)[\s\d,]*free\s+software\s+foundation[\s\S]{0,120}?(?=everyone\s+is\s+permitted)"
+COPYRIGHT = (
+    rf"(?m){FOUNDATION}|{NOTICE}(?:[^\n]|\n(?![ \t]*\n)){{0,80}}?(?={OPENING})|^[ \t#*/;-]*(?:{NOTICE}[^\n]*|{NAMED})"
+    r"|\ball\s+rights\s+reserved\b"
+)
 OTHER = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
     """The canonical form of `text`; equal licences have equal forms."""
-    lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
+    def without_notices(lower: Column) -> Column:
+        may = any_of([lower.contains(x) for x in ("copyright", "(c)", "©", "rights")])
+        return F.when(may, F.regexp_replace(lower, COPYRIGHT, "")).otherwise(lower)
+
+    lower = let(F.lower(F.coalesce(text, F.lit(""))), without_notices)
     plain = F.concat(F.lit(" "), F.btrim(F.regexp_replace(lower, OTHER, " ")), F.lit(" "))
     for found, meant in SPELLINGS:
         plain = F.replace(plain, F.lit(f" {found} "), F.lit(f" {meant} "))
@@ -97,8 +126,9 @@ def digest(text: Column) -> Column:
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
-    """license, text: the fixed list above. Any frame of these columns may be used instead."""
-    return spark.createDataFrame([*NOTICES, *TEXTS], "license string, text string")
+    """license, text: the fixed lists above, texts also with titles. Any frame of these columns may be used instead."""
+    titled = [(name, f"{title}\n\n{text}") for name, text in TEXTS for title in TITLES.get(name, ())]
+    return spark.createDataFrame([*NOTICES, *TEXTS, *titled], "license string, text string")
 
 
 def licensed(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:

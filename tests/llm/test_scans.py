@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -120,6 +121,24 @@ def test_licenses(spark, odd, empty):
     assert licensed(odd).count() == odd.count() and licensed(empty).count() == 0
 
 
+def test_licenses_in_any_wrapping_and_with_titles(spark):
+    rows, want = [], []
+    for name, text in licenses.TEXTS:
+        for title in ("", *licenses.TITLES[name]):
+            for notice in ("", "Copyright (c) 2020 Some One", "Copyright 1999-2001, Some One Inc.", "Copyright Some One\n"):
+                for width in (*range(30, 130, 9), 100_000):
+                    parts = [textwrap.fill(" ".join(x.split()), width) for x in (title, notice, text) if x]
+                    rows.append((len(rows), "\n\n".join(parts)))
+                    want.append(name)
+        rows.append((len(rows), f"Copyright (c) 2020 Some One {' '.join(text.split())}"))
+        want.append(name)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["license"] for r in licensed(frame).collect()}
+    assert [i for i, name in enumerate(want) if got[i] != name] == []
+    cut = dict(licenses.TEXTS)["MIT"].replace("COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, ", "")
+    assert licensed(spark.createDataFrame([(1, cut)], "doc_id long, text string")).first()["license"] is None
+
+
 def test_warc_round_trip(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     long = "é" * 600 + "\r\n\r\nWARC/1.1\r\n"
