@@ -4,7 +4,7 @@ A text is brought to a canonical form: lower case, copyright notices dropped (wi
 that begins with one, or within 80 characters before a licence's opening words; lines of the word and a short name),
 equivalent spellings made one, everything but letters and digits turned into single spaces. Its SHA-256 is looked up in the digests
 of known licences by a hash join. Looked up are each document as a whole (a licence file) and each of its lines (a
-notice in a text).
+notice in a text). A line with an SPDX identifier counts as a notice named SPDX: and the identifier, known or not.
 
 Defined results: null and empty texts, and texts that are only copyright lines, have the canonical form '' and match
 nothing. Rows of one doc_id, repeated rows and null ids each keep their row. Empty tables give no rows; extra columns are
@@ -13,6 +13,9 @@ ignored. Licences with equal canonical forms are reported by the smallest name.
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +82,7 @@ SPELLINGS = [
     ("v", "version"),
     ("organisation", "organization"),
     ("noncommercial", "nc"),
+    ("https", "http"),
 ]
 #: Titles that may stand before a text.
 TITLES = {
@@ -87,11 +91,11 @@ TITLES = {
     "0BSD": ("0BSD License", "Zero-Clause BSD", "BSD Zero Clause License", "Zero-Clause BSD License"),
 }
 #: What begins a copyright notice, not a clause such as "copyright holders be liable"; (c) alone may be a list's letter.
-NOTICE = r"(?:\bcopyright[ \t:]*(?:\(c\)|©|[12]\d{3}\b|[<\[{](?:year|yyyy))|(?:\(c\)|©)[ \t]*[12]\d{3}\b)"
+NOTICE = r"(?:\bcopyright[\s:]*(?:\(c\)|©|[12]\d{3}\b|[<\[{](?:year|yyyy))|(?:\(c\)|©)\s*[12]\d{3}\b)"
 #: A line of a name only: not the words that follow "copyright" in licences.
 NAMED = (
-    r"copyright[ \t]+(?!(?:holder|owner|notice|law|licen[sc]e|statement|interest|protection|disclaimer|treat|right|act)"
-    r"|(?:and|or|on|in|of|to|by|is|as|for|that|are|nor|the(?! regents)|patent|under|with|you|it|this|be|may|shall)\b)"
+    r"copyright[ \t]+(?!(?:holder|owner|notice|law|licen[sc]e|statement|interest|protection|disclaimer|treat|right|act|permission|doctrine)"
+    r"|(?:and|or|if|on|in|of|to|by|is|as|for|that|are|nor|the(?! regents)|patent|under|with|you|it|this|be|may|shall)\b)"
     r"(?:[^\s]+[ \t]*){1,8}$"
 )
 #: Where a text begins that may stand behind a notice on the same line.
@@ -105,6 +109,8 @@ COPYRIGHT = (
     rf"(?m){FOUNDATION}|{NOTICE}(?:[^\n]|\n(?![ \t]*\n)){{0,80}}?(?={OPENING})|^[ \t#*/;-]*(?:{NOTICE}[^\n]*|{NAMED})"
     r"|\ball\s+rights\s+reserved\b"
 )
+#: An identifier line: one identifier, or several joined by and, or, with; brackets are left out.
+SPDX = r"(?i)spdx-license-identifier:[ \t(]*([a-z0-9][a-z0-9.+-]*(?:[ \t()]+(?:and|or|with)[ \t(]+[a-z0-9][a-z0-9.+-]*)*)"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
@@ -126,9 +132,10 @@ def digest(text: Column) -> Column:
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
-    """license, text: the fixed lists above, texts also with titles. Any frame of these columns may be used instead."""
+    """license, text: the fixed lists above, texts also with titles, and those of licenses.json. Any frame of these columns may be used instead."""
     titled = [(name, f"{title}\n\n{text}") for name, text in TEXTS for title in TITLES.get(name, ())]
-    return spark.createDataFrame([*NOTICES, *TEXTS, *titled], "license string, text string")
+    full = [(x["license"], x["text"]) for x in json.loads(Path(__file__).with_suffix(".json").read_text("utf-8"))]
+    return spark.createDataFrame([*NOTICES, *TEXTS, *titled, *full], "license string, text string")
 
 
 def licensed(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -138,11 +145,20 @@ def licensed(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     digests = digests.groupBy("known").agg(F.min("license").alias("license"))
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    marked = (
+        rows.where(F.lower("text").contains("spdx-license-identifier:"))
+        .select("row_key", F.explode(lines).alias("line"))
+        .select("row_key", F.regexp_extract("line", SPDX, 1).alias("id"))
+        .where("id <> ''")
+        .select("row_key", F.concat(F.lit("SPDX:"), F.regexp_replace("id", r"[ \t()]+", " ")).alias("license"))
+    )
     line_hits = (
         rows.select("doc_id", "row_key", F.explode_outer(lines).alias("line"))
         .where(F.length("line") > 0)
         .select("row_key", digest(F.col("line")).alias("known"))
         .join(digests, "known")
+        .select("row_key", "license")
+        .union(marked)
         .groupBy("row_key", "license")
         .agg(F.count("*").alias("n"))
         .groupBy(F.col("row_key").alias("_key"))

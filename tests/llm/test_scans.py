@@ -139,6 +139,19 @@ def test_licenses_in_any_wrapping_and_with_titles(spark):
     assert licensed(spark.createDataFrame([(1, cut)], "doc_id long, text string")).first()["license"] is None
 
 
+def test_common_licenses_and_spdx_lines(spark):
+    full = [(r["license"], r["text"]) for r in licenses.known_texts(spark).collect() if len(r["text"]) > 500]
+    names = {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense", "Zlib", "CC0-1.0"}
+    assert names <= {name for name, _ in full}
+    rows = [(i, "\n\n".join(textwrap.fill(x, width, break_long_words=False) for x in text.split("\n\n"))) for width in (40, 79, 10**6) for i, (_, text) in enumerate(full)]
+    rows += [(i, " ".join(text.split())) for i, (_, text) in enumerate(full)]
+    got = licensed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], full[r["doc_id"]][0]) for r in got if r["license"] != full[r["doc_id"]][0]] == []
+    text = "# SPDX-License-Identifier: MIT\ncode\n/* spdx-license-identifier: (GPL-2.0-only WITH Classpath-exception-2.0) OR Apache-2.0 */\nSPDX-License-Identifier:"
+    r = licensed(spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")).first()
+    assert (r["line_licenses"], r["n_license_lines"]) == ("SPDX:GPL-2.0-only WITH Classpath-exception-2.0 OR Apache-2.0,SPDX:MIT", 2)
+
+
 def test_warc_round_trip(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     long = "é" * 600 + "\r\n\r\nWARC/1.1\r\n"
