@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starbuild.llm.centroids import ORACLE_SQL as CENTROIDS_SQL
+from starbuild.llm.centroids import cluster_report
 from starbuild.llm.common import table
 from starbuild.llm.decontaminate import contaminated
 from starbuild.llm.fingerprints import fingerprint_edits
@@ -61,6 +63,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -72,5 +78,6 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_substrings": op10_substrings,
+    "op11_centroids": op11_centroids,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_centroids": CENTROIDS_SQL}
