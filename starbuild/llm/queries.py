@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starbuild.llm.bpe import code_report
 from starbuild.llm.centroids import ORACLE_SQL as CENTROIDS_SQL
 from starbuild.llm.centroids import cluster_report
 from starbuild.llm.common import table
+from starbuild.llm.conversations import repair_report
 from starbuild.llm.decontaminate import contaminated
 from starbuild.llm.fingerprints import fingerprint_edits
 from starbuild.llm.jaccard import near_duplicates
@@ -67,6 +69,14 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_report(table(spark, sf_dir, "documents"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -79,5 +89,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_substrings": op10_substrings,
     "op11_centroids": op11_centroids,
+    "op12_bpe": op12_bpe,
+    "op13_conversations": op13_conversations,
 }
 ORACLE: dict[str, str] = {"op11_centroids": CENTROIDS_SQL}
