@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,26 @@ def dimension(df: DataFrame, key: str, columns: Mapping[str, str], order: Sequen
     return surrogate_key(natural, key, order).select(key, *columns.values())
 
 
+def grown_dimension(
+    df: DataFrame, known: DataFrame, key: str, columns: Mapping[str, str], order: Sequence[str], dtype: str = "int"
+) -> DataFrame:
+    """`known`, a stored dimension, with the natural keys of `df` that it lacks numbered behind its largest key.
+
+    Old keys stay, so facts stored with them stay right. New ones are numbered by `order` among themselves, over range partitions. Null
+    counts as a value and is known once. Both sides hold a natural key once, so the join has no hot keys.
+    """
+    if set(order) != set(columns.values()):
+        raise ValueError("order must name every column of the dimension")
+    names = list(columns.values())
+    natural = df.select(*[F.col(source).alias(name) for source, name in columns.items()]).distinct()
+    old = known.select(*[F.col(c).alias(f"_{c}") for c in names])
+    same = reduce(lambda a, b: a & b, [natural[c].eqNullSafe(old[f"_{c}"]) for c in names])
+    new = surrogate_key(natural.join(old, same, "left_anti"), "_n", order, "bigint")
+    last = known.agg(F.max(key)).first()[0] or 0
+    numbered = new.select((F.col("_n") + F.lit(last).cast("bigint")).cast(dtype).alias(key), *names)
+    return known.select(F.col(key).cast(dtype).alias(key), *names).unionByName(numbered)
+
+
 def _calendar_columns(days: DataFrame) -> DataFrame:
     day = F.col("date")
     return days.select(

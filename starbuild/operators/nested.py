@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _quoted(path: Sequence[str]) -> str:
-    return ".".join(f"`{part}`" for part in path)
+def quoted(path: Sequence[str]) -> str:
+    """A path of field names as text that names the column, whatever characters they have."""
+    return ".".join(f"`{part.replace('`', '``')}`" for part in path)
 
 
 def flatten_structs(df: DataFrame, sep: str = ".") -> DataFrame:
@@ -25,7 +26,7 @@ def flatten_structs(df: DataFrame, sep: str = ".") -> DataFrame:
             if isinstance(field.dataType, T.StructType):
                 yield from leaves(field.dataType, here)
             else:
-                yield F.col(_quoted(here)).alias(sep.join(here))
+                yield F.col(quoted(here)).alias(sep.join(here))
 
     return df.select(*leaves(df.schema, ()))
 

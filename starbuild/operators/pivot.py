@@ -89,3 +89,25 @@ def pivot_values(
 ) -> DataFrame:
     """Spark's own pivot with declared values, which needs no pass over the data to find them."""
     return df.groupBy(key).pivot(column, list(values)).agg(*aggregates)
+
+
+def pivot_sparse(
+    df: DataFrame, key: str, type_column: str, rank_column: str, measures: Sequence[str], cells: str = "cells"
+) -> DataFrame:
+    """One row per `key` with its cells in one array, for pivots with more types than a table can have columns.
+
+    A cell is a struct of type, rank and the sum of each measure; cells stand in the order of type and rank, nulls first. Types stay in the
+    data: none is declared, and none comes to the driver. Rows are added up to cells before and after the first shuffle, so a
+    key's array has one element for each of its (type, rank), however many rows it had.
+    """
+    filled = df.groupBy(key, type_column, rank_column).agg(*[F.sum(m).alias(m) for m in measures])
+    cell = F.struct(F.col(type_column).alias("type"), F.col(rank_column).alias("rank"), *measures)
+    return filled.groupBy(key).agg(F.sort_array(F.collect_list(cell)).alias(cells))
+
+
+def sparse_cell(cells: str, kind: Column | str, rank: Column | int, measure: str) -> Column:
+    """The measure of one cell of `pivot_sparse`; null if there is none."""
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    rank = F.lit(rank) if isinstance(rank, int) else rank
+    here = F.filter(cells, lambda c: c["type"].eqNullSafe(kind) & c["rank"].eqNullSafe(rank))
+    return F.get(here, F.lit(0))[measure]

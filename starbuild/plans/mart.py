@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import date_parts, label_nulls
-from ..operators.dims import CALENDAR, date_dim, dimension
-from ..operators.lookup import dropped_by_lookup, left_enrich, lookup
+from ..operators.dims import CALENDAR, date_dim, dimension, grown_dimension
+from ..operators.lookup import Lookup, left_enrich, lookup, lookup_losses_of, marked_lookups, missed_names
 from ..operators.numbering import rank_in_group
 from ..operators.pivot import PivotSpec, pivot_children
 from ..operators.quality import duplicate_types, require_empty, spec_violations
 from ..operators.skew import HOT_ROWS, hot_keys
+from ..session import Counted
 from ..sinks import overwrite
 from .schemas import (
     GEOGRAPHY,
@@ -91,16 +93,19 @@ def build_fact(
     geography: DataFrame,
     time: DataFrame,
     spec: PivotSpec = ZONE_SPEC,
+    rows: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """The wide fact: one row per labelled activity that finds all three dimensions.
 
     The lookups come before the zone columns are joined on, so that rows that drop out do so
-    early, and the wide columns pass no further join.
+    early, and the wide columns pass no further join. `rows` may bring the sizes of the dimensions (sport_type, geography, time),
+    as counted when they were written.
     """
+    rows = rows or {}
     used = activity.select("id", *MEASURES, *SPORT_TYPE, *GEOGRAPHY, "start_date_local")
-    found = lookup(date_parts(used, "start_date_local"), sport_type, SPORT_TYPE, ["sk_sport_type"])
-    found = lookup(found, geography, GEOGRAPHY, ["sk_geography"])
-    found = lookup(found, time, TIME_LOOKUP, ["sk_time"])
+    found = lookup(date_parts(used, "start_date_local"), sport_type, SPORT_TYPE, ["sk_sport_type"], dim_rows=rows.get("sport_type"))
+    found = lookup(found, geography, GEOGRAPHY, ["sk_geography"], dim_rows=rows.get("geography"))
+    found = lookup(found, time, TIME_LOOKUP, ["sk_time"], dim_rows=rows.get("time"))
     fact = found.select(
         "id", *MEASURES, "start_hour", "start_minute", "start_second", "sk_sport_type", "sk_geography", "sk_time"
     )
@@ -115,37 +120,79 @@ def build_mart(
     calendar: tuple[str, str] = CALENDAR,
     fill_country: bool = False,
     root: str | None = None,
+    keep_keys: bool = False,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Rebuild the three dimensions and the fact from the staging tables.
 
-    They are one load: surrogate keys are numbered anew each time. The load stops before the fact
-    if a zone type is null, has zones of different bucket counts, or does not fit `spec`.
+    They are one load: surrogate keys are numbered anew each time, unless `keep_keys`, which leaves those of stored dimensions
+    as they are and numbers new natural keys behind them. The load stops before the fact
+    if a zone type is null, has zones of different bucket counts, or does not fit `spec`. With `rejects`, a table of that
+    name gets the activities that find no row in a dimension, with what they missed.
     """
     activity = labelled(spark.table(staging.activity), fill_country)
     zone, bucket = spark.table(staging.zone), spark.table(staging.bucket)
-    sport_type = overwrite(dimension(activity, "sk_sport_type", SPORT_TYPE, SPORT_TYPE_ORDER), mart.sport_type, root=root)
-    geography = overwrite(dimension(activity, "sk_geography", GEOGRAPHY, GEOGRAPHY_ORDER), mart.geography, root=root)
-    time = overwrite(date_dim(spark, *calendar), mart.time, root=root)
+    counts: dict[str, Counted] = {}
+
+    def stored(name: str, df: DataFrame, table: str) -> DataFrame:
+        counts[name] = Counted()
+        return overwrite(counts[name].watch(df), table, root=root)
+
+    def numbered(key: str, columns: Mapping[str, str], order: list[str], table: str) -> DataFrame:
+        if keep_keys and spark.catalog.tableExists(table):
+            return grown_dimension(activity, spark.table(table), key, columns, order)
+        return dimension(activity, key, columns, order)
+
+    sport_type = stored("sport_type", numbered("sk_sport_type", SPORT_TYPE, SPORT_TYPE_ORDER, mart.sport_type), mart.sport_type)
+    geography = stored("geography", numbered("sk_geography", GEOGRAPHY, GEOGRAPHY_ORDER, mart.geography), mart.geography)
+    time = stored("time", date_dim(spark, *calendar), mart.time)
     require_empty(
         spec_violations(bucket_counts(zone, bucket), "type", "bucket_count", spec.types),
         "zone types do not fit the fact",
     )
     if not doubled_zones(zone).isEmpty():
         warnings.warn("activities have several zones of one type; the fact adds up their buckets", stacklevel=2)
-    fact = build_fact(activity, zone, bucket, sport_type, geography, time, spec)
+    rows = {name: counted.rows for name, counted in counts.items()}
+    if rejects is not None:
+        overwrite(fact_rejects(activity, sport_type, geography, time, rows), rejects, root=root)
+    fact = build_fact(activity, zone, bucket, sport_type, geography, time, spec, rows)
     return overwrite(fact, mart.activity, allow_schema_change=True, root=root)
 
 
-def lookup_losses(activity: DataFrame, sport_type: DataFrame, geography: DataFrame, time: DataFrame) -> DataFrame:
-    """How many labelled activities each lookup drops, counted one by one."""
-    at = date_parts(activity, "start_date_local")
-    return (
-        dropped_by_lookup(activity, sport_type, SPORT_TYPE, "sport_type")
-        .unionByName(dropped_by_lookup(activity, geography, GEOGRAPHY, "geography"))
-        .unionByName(dropped_by_lookup(at, time, TIME_LOOKUP, "time"))
+def fact_lookups(
+    sport_type: DataFrame, geography: DataFrame, time: DataFrame, rows: Mapping[str, int] | None = None
+) -> list[Lookup]:
+    """The lookups of the fact, in their order."""
+    rows = rows or {}
+    return [
+        Lookup("sport_type", sport_type, SPORT_TYPE, rows=rows.get("sport_type")),
+        Lookup("geography", geography, GEOGRAPHY, rows=rows.get("geography")),
+        Lookup("time", time, TIME_LOOKUP, rows=rows.get("time")),
+    ]
+
+
+def _marked(activity: DataFrame, lookups: list[Lookup]) -> DataFrame:
+    used = activity.select("id", *SPORT_TYPE, *GEOGRAPHY, "start_date_local")
+    return marked_lookups(date_parts(used, "start_date_local"), lookups)
+
+
+def fact_rejects(
+    activity: DataFrame, sport_type: DataFrame, geography: DataFrame, time: DataFrame, rows: Mapping[str, int] | None = None
+) -> DataFrame:
+    """The labelled activities that the fact leaves out: id, their natural keys, missed (a bit for each lookup) and its names."""
+    lookups = fact_lookups(sport_type, geography, time, rows)
+    lost = _marked(activity, lookups).filter(F.col("missed") != 0)
+    return lost.select(
+        "id", *SPORT_TYPE, *GEOGRAPHY, "start_date_local", "missed", F.array_join(missed_names(lookups), ",").alias("dimensions")
     )
 
 
+def lookup_losses(activity: DataFrame, sport_type: DataFrame, geography: DataFrame, time: DataFrame) -> DataFrame:
+    """How many labelled activities each lookup drops by itself, in one pass over them."""
+    lookups = fact_lookups(sport_type, geography, time)
+    return lookup_losses_of(_marked(activity, lookups), lookups)
+
+
 def doubled_zones(zone: DataFrame) -> DataFrame:
     """Activities with several zones of one type; the fact adds up their buckets."""
     return duplicate_types(zone, "activity_id", "type")

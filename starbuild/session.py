@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "starbuild", **conf: str) -> SparkSession:
@@ -56,3 +59,34 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Counted:
+    """What a write counts on its way: the rows, and other aggregates by name.
+
+    The counts are taken in the last step before the writer, whose tasks count once however often they are retried. They are
+    there once the write has run. An aggregate over no rows is null, and so are all of them if Spark saw beforehand that there are none.
+    """
+
+    def __init__(self, **aggregates: Column) -> None:
+        self._seen = Observation()
+        self._aggregates = {"rows": F.count(F.lit(1)), **aggregates}
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """`df`, counted as it is written."""
+        return df.observe(self._seen, *[a.alias(name) for name, a in self._aggregates.items()])
+
+    @property
+    def values(self) -> Mapping[str, Any]:
+        found = self._seen.get
+        return {name: found.get(name, 0 if name == "rows" else None) for name in self._aggregates}
+
+    @property
+    def rows(self) -> int:
+        return self.values["rows"]
+
+
+def materialize_counted(df: DataFrame, **aggregates: Column) -> tuple[DataFrame, Mapping[str, Any]]:
+    """`materialize`, with its rows (`rows`) and other aggregates counted by the same job."""
+    counted = Counted(**aggregates)
+    return materialize(counted.watch(df)), counted.values

@@ -10,19 +10,21 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import as_struct
 from ..operators.incremental import like, matched_keys, new_rows, require_unique, upsert
-from ..operators.lookup import within
 from ..operators.quality import require_empty
-from ..session import materialize
+from ..session import materialize_counted
 
 # An increment up to this many rows (a few narrow columns) is broadcast to its target.
 INCREMENT_ROWS = 500_000
+# An increment that touches up to this many partitions names them to the scan; beyond, they are found by a join.
+NAMED_PARTITIONS = 1_000
 
 
 class SchemaMismatch(Exception):
@@ -51,14 +53,18 @@ def _replace(df: DataFrame, table: str, root: str | None, partition_by: Sequence
         kept = _partition_columns(spark, table)
         partition_by = kept if set(kept) <= set(df.columns) else ()
     folder = _new_folder(spark, table, root)
-    df.write.partitionBy(*partition_by).parquet(folder)
+    # Without this, each task would write a file for each partition; a partition with many rows is still cut.
+    dealt = df.hint("rebalance", *partition_by) if partition_by else df
+    dealt.write.partitionBy(*partition_by).parquet(folder)
     known = spark.catalog.tableExists(table)
     partitioned = partition_by or (known and _partition_columns(spark, table))
     if known and not partitioned and _columns(spark.table(table).schema) == _columns(df.schema):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         return
-    if known:
-        spark.sql(f"DROP TABLE {table}")
+    # Another layout needs a new entry. It is complete before it takes the name, and the old one goes last.
+    mark = uuid.uuid4().hex
+    successor, old = f"{table}_next_{mark}", f"{table}_old_{mark}"
+    entry = successor if known else table
     # The declared schema is given, as an empty folder has none to infer.
     if partition_by:
         stored = T.StructType(
@@ -66,10 +72,14 @@ def _replace(df: DataFrame, table: str, root: str | None, partition_by: Sequence
         )
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.fields)
         keys = ", ".join(f"`{c}`" for c in partition_by)
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({keys}) LOCATION '{folder}'")
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"CREATE TABLE {entry} ({columns}) USING parquet PARTITIONED BY ({keys}) LOCATION '{folder}'")
+        spark.sql(f"MSCK REPAIR TABLE {entry}")
     else:
-        spark.catalog.createTable(table, path=folder, source="parquet", schema=df.schema)
+        spark.catalog.createTable(entry, path=folder, source="parquet", schema=df.schema)
+    if known:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {successor} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {old}")
 
 
 def overwrite(
@@ -138,26 +148,43 @@ def merge_into(
     target = spark.table(table)
     update = [c for c in target.columns if c not in keys] if update is None else list(update)
     # Used several times below, and it may come from a long plan: store it once.
-    source = materialize(like(source, target))
+    source, counts = materialize_counted(like(source, target))
     if check:
         require_unique(source, keys, null_safe)
-    small = within(source, INCREMENT_ROWS)
+    small = counts["rows"] <= INCREMENT_ROWS
+    partition_by = _partition_columns(spark, table)
+    by_partition = bool(partition_by) and set(partition_by) <= set(keys)
+    part = _touched(target, source, partition_by) if by_partition and not null_safe else target
     if not update:
-        new_rows(target, source, keys, null_safe, small).write.insertInto(table)
-    elif matched_keys(target, source, keys, null_safe, small).isEmpty():
+        new_rows(part, source, keys, null_safe, small).write.insertInto(table)
+    elif matched_keys(part, source, keys, null_safe, small).isEmpty():
         source.write.insertInto(table)
-    elif partition_by := _partition_columns(spark, table):
-        if not set(partition_by) <= set(keys):
+    elif partition_by:
+        if not by_partition:
             raise ValueError(f"{table}: the partition columns {partition_by} must be among the keys")
         require_empty(
             source.filter(" OR ".join(f"`{c}` IS NULL" for c in partition_by)), "null in a partition column"
         )
-        touched = source.select(*partition_by).distinct()
-        part = target.join(F.broadcast(touched) if small else touched, partition_by, "left_semi").select(*target.columns)
+        merged = upsert(_touched(target, source, partition_by), source, keys, update, null_safe, check=False, small=small)
         with _overwrite_touched_partitions(spark):
-            upsert(part, source, keys, update, null_safe, check=False, small=small).write.insertInto(
-                table, overwrite=True
-            )
+            merged.hint("rebalance", *partition_by).write.insertInto(table, overwrite=True)
     else:
         _replace(upsert(target, source, keys, update, null_safe, check=False, small=small), table, root, ())
     return spark.table(table)
+
+
+def _touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The rows of `target` in the partitions that `source` has rows for; the others are not even listed."""
+    touched = source.select(*partition_by).dropna().distinct()
+    named = touched.limit(NAMED_PARTITIONS + 1).collect()
+    if len(named) > NAMED_PARTITIONS:
+        return target.join(touched, list(partition_by), "left_semi").select(*target.columns)
+    kinds = [target.schema[c].dataType for c in partition_by]
+
+    def here(row: Row) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(f"`{c}`") == F.lit(v).cast(k) for c, v, k in zip(partition_by, row, kinds)])
+
+    if len(partition_by) == 1:
+        values = [F.lit(row[0]).cast(kinds[0]) for row in named]
+        return target.filter(F.col(f"`{partition_by[0]}`").isin(values))
+    return target.filter(reduce(lambda a, b: a | b, [here(row) for row in named], F.lit(False)))

@@ -63,6 +63,38 @@ def parse_json(column: str, schema: T.DataType | str) -> Column:
     return F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
 
 
+def until_first_refusal(responses: DataFrame, order: Sequence[str], status: str = "status") -> DataFrame:
+    """The responses before the first one that was refused, in the order in which they were asked for.
+
+    A fetch that stops at a refusal has no answers beyond it; those that are stored nevertheless wait for the next load. `order`
+    should name every response once; a null sorts first. The first refusal is the least of each task's least: one row, which
+    then is a constant filter on the scan, so nothing is sorted.
+    """
+    asked = F.struct(*order)
+    refused = responses.filter(~F.coalesce(F.col(status) == SUCCESS, F.lit(False)))
+    first = refused.agg(F.min(asked).alias("first")).first()["first"]
+    if first is None:
+        return responses
+    kinds = [responses.schema[c].dataType for c in order]
+    bound = F.struct(*[F.lit(v).cast(k).alias(c) for c, v, k in zip(order, first, kinds)])
+    lead = F.col(order[0])
+    near = lead.isNull() if first[0] is None else lead.isNull() | (lead <= F.lit(first[0]).cast(kinds[0]))
+    return responses.filter(near & (asked < bound))
+
+
+def last_answers(responses: DataFrame, key: str, attempt: str, status: str = "status", body: str = "body") -> DataFrame:
+    """One response for each key: the successful one with the largest attempt number, else the last refusal.
+
+    A key answered again by a later load or a retry thus counts once. Of equal attempts the larger body counts. Answers of one
+    key are combined before the shuffle, so a key asked very often is no hot key.
+    """
+    good = F.coalesce(F.col(status) == SUCCESS, F.lit(False))
+    rank = F.struct(good.alias("good"), F.col(attempt).alias("attempt"), F.col(body).alias("body"), F.col(status).alias("status"))
+    return responses.groupBy(key).agg(F.max(rank).alias("_last")).select(
+        key, F.col("_last.attempt").alias(attempt), F.col("_last.status").alias(status), F.col("_last.body").alias(body)
+    )
+
+
 def parse_responses(
     responses: DataFrame, key: str, schema: T.DataType | str, value: str, status: str = "status", body: str = "body"
 ) -> DataFrame:
