@@ -80,7 +80,14 @@ def _rank_split(df: DataFrame, group: Sequence[str], order: Sequence[str], name:
     is the running count in its partition plus the counts of the group's earlier partitions.
     """
     rest = [c for c in df.columns if c not in (*group, *order)]
-    folded = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    # Maps and variants cannot be grouped or sorted by: their JSON text stands for them, one row of each text keeps the value.
+    loose = [c for c in rest if any(k in df.schema[c].dataType.simpleString() for k in ("map<", "variant"))]
+    text = {c: f"_text_{i}" for i, c in enumerate(loose)}
+    keys = [c for c in df.columns if c not in loose]
+    values = [F.first(c).alias(c) for c in loose]
+    folded = df.withColumns({t: F.to_json(F.struct(c)) for c, t in text.items()})
+    folded = folded.groupBy(*keys, *text.values()).agg(F.count("*").alias("_n"), *values)
+    rest = [text.get(c, c) for c in rest]
     placed = materialize(
         folded.repartitionByRange(*group, *order, *rest).withColumn("_part", F.spark_partition_id())
     )

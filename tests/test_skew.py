@@ -151,3 +151,16 @@ def test_a_hot_key_is_dealt_out_after_a_shuffle_by_it(spark):
     finally:
         spark.conf.set(setting, before)
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_hot_group_with_map_columns(spark):
+    """Rows whose maps cannot be grouped or sorted are ranked over several tasks, too; copies stay."""
+    rows = [(i % 2, i // 4, {"a": i % 3, "b": 1}, [{"x": i}]) for i in range(200)] + [(0, 7, None, None)] * 3
+    df = spark.createDataFrame(rows, "g int, o int, m map<string,int>, l array<map<string,int>>")
+    ranked = rank_in_group(df, ["g"], ["o"], min_rows=10, hot={h: 8 for (h,) in df.select(key_hash(["g"])).distinct().collect()})
+    found = ranked.collect()
+    assert sorted((r.g, r.rank) for r in found) == [(g, i) for g, n in ((0, 103), (1, 100)) for i in range(1, n + 1)]
+    for g in (0, 1):
+        orders = [r.o for r in sorted((r for r in found if r.g == g), key=lambda r: r.rank)]
+        assert orders == sorted(orders)
+    assert sorted(repr((r.g, r.o, r.m, r.l)) for r in found) == sorted(repr(tuple(r)) for r in df.collect())

@@ -44,7 +44,7 @@ from starbuild.plans.schemas import (
     ZONES_BODY,
 )
 from starbuild.plans.staging import StagingTables, buckets_of, stage_children, zones_of
-from starbuild.session import materialize, scratch_path
+from starbuild.session import materialize, materialize_counted, scratch_path
 from starbuild.sinks import ensure_table, merge_into, overwrite
 from starbuild.sources import parse_json, parse_responses, union_pages
 
@@ -379,17 +379,15 @@ def fact(spark, sf_dir):
     """The whole mart: three lookups and the pivoted zones, 86 columns. Stops if a zone does not fit its columns."""
     source = activity(spark, sf_dir)
     named = labelled(source)
-    zones, buckets = zone(spark, sf_dir), ranged_bucket(spark, sf_dir)
+    # Like the activities, both are stored as a load would leave them.
+    zones, buckets = materialize(zone(spark, sf_dir)), materialize(ranged_bucket(spark, sf_dir))
     sizes = bucket_counts(zones, buckets)
     require_empty(spec_violations(sizes, "type", "bucket_count", ZONE_SPEC.types), "zone types do not fit the fact")
-    return build_fact(
-        named,
-        zones,
-        buckets,
-        dimension(named, "sk_sport_type", SPORT_TYPE, SPORT_TYPE_ORDER),
-        dimension(named, "sk_geography", GEOGRAPHY, GEOGRAPHY_ORDER),
-        date_dim_over(source, F.col("start_date_local")),
-    )
+    sport_type, sport_counts = materialize_counted(dimension(named, "sk_sport_type", SPORT_TYPE, SPORT_TYPE_ORDER))
+    geography, geography_counts = materialize_counted(dimension(named, "sk_geography", GEOGRAPHY, GEOGRAPHY_ORDER))
+    time, time_counts = materialize_counted(date_dim_over(source, F.col("start_date_local")))
+    rows = {"sport_type": sport_counts["rows"], "geography": geography_counts["rows"], "time": time_counts["rows"]}
+    return build_fact(named, zones, buckets, sport_type, geography, time, rows=rows)
 
 
 @query("q_lookup_loss")
