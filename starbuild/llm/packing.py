@@ -5,7 +5,8 @@
 3. On that histogram the driver solves the configuration program (fewest sequences whose configurations, multisets of
    lengths that fit in one, hold all pieces) by multiplicative weights: each round prices the lengths, a knapsack
    dynamic program finds the dearest configuration, and the weights of what it holds fall.
-4. Fractions are rounded down, tight configurations first; best fit, again on the histogram, places what is left.
+4. Fractions are rounded down in the order found; best fit, again on the histogram, places what is left. The program's
+   prices also bound from below how few sequences there can be.
 5. Pieces are numbered within their length on the executors and look up their place in the plan, whose size depends on
    the number of lengths only.
 
@@ -16,7 +17,10 @@ placed once, offsets within a sequence are gapless from 0.
 
 from __future__ import annotations
 
+import math
 import os
+import re
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -25,16 +29,18 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starbuild.llm.common import materialize, ship
-from starbuild.llm.tokens import TOKENIZER, merger, pieces_of, vocabulary_path
+from starbuild.llm.tokens import ODD_SPACE, TOKENIZER, merger, pieces_of, vocabulary_path
 
 CAPACITY = 4096
 END_ID = 1
-#: (rounds, how strongly a weight follows what is covered); the driver solves with each and keeps the fewest sequences.
-TRIES = ((1, 0.0), (6, 0.0), (4, 0.02), (12, 0.3))
+#: (rounds, how fast a weight falls with what is covered). One after the other is solved until the plan is as short as the
+#: program's bound allows; otherwise the shortest plan counts.
+TRIES = ((12, 0.3), (20, 2.0), (40, 3.0))
 SLACK = 0.02
 CACHE_ENTRIES = 600_000
 #: Pre-tokens encoded as one string, and characters of text handled at a time.
@@ -45,8 +51,7 @@ PORTION_CHARS = 1_000_000
 class PieceEncoder:
     """Token ids of texts as little-endian 32-bit bytes.
 
-    The library encodes each distinct pre-token once, JOINED of them in one string; a piece without white space is its
-    pre-tokens in turn. A pre-token's last id, and no other, closes a word, which tells the ids of a string apart.
+    The library encodes each distinct pre-token once, JOINED of them in one string. A pre-token's last id, and no other, closes a word, which tells the ids of a string apart.
     """
 
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
@@ -55,6 +60,7 @@ class PieceEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.cutter = merger(path)
+        self.narrow = narrow_pattern(self.cutter.word.pattern)
         self.closes = np.zeros(self.library.get_vocab_size(with_added_tokens=True), bool)
         self.closes[self.cutter.closing] = True
         self.known: dict[str, bytes] = {}
@@ -78,19 +84,42 @@ class PieceEncoder:
 
     def learn(self, pieces: list[str]) -> None:
         known, words = self.known, self.words
-        if len(words) > self.cache_entries:
-            words.clear()
         special = [x for x in pieces if "<" in x]
         known.update((x, ids.tobytes()) for x, ids in zip(special, self.ids(special), strict=True))
         cut = [(x, self.cutter.cut(x)) for x in pieces if "<" not in x]
-        self.learn_words(list({w for _, own in cut for w in own}.difference(words)))
+        self.hold_words({w for _, own in cut for w in own})
         known.update((x, words[own[0]] if len(own) == 1 else b"".join(map(words.__getitem__, own))) for x, own in cut)
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Texts of one batch, so that what is new in them goes to the library together."""
+        """Texts of one batch, so that what is new in them goes to the library together.
+
+        Pre-tokens of a plain text are looked up as they are; what stands for itself in others, as special strings do, by pieces.
+        """
+        plain = ["<" not in x and not ODD_SPACE.search(x) for x in texts]
+        words = [self.pre_tokens(lowered(x)) if easy else () for x, easy in zip(texts, plain, strict=True)]
+        self.hold_words(set().union(*words))
+        out = [b"".join(map(self.words.__getitem__, own)) for own in words]
+        rest = [i for i, easy in enumerate(plain) if not easy]
+        for i, ids in zip(rest, self.encode_pieces([texts[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
+    def pre_tokens(self, text: str) -> list[str]:
+        narrow = text.isascii() or not WIDE.search(text)
+        return (self.narrow if narrow and self.narrow else self.cutter.word).findall(text)
+
+    def hold_words(self, wanted: set[str]) -> None:
+        """See to it that the ids of all `wanted` pre-tokens are known at once."""
+        new = wanted.difference(self.words)
+        if new and len(self.words) + len(new) > self.cache_entries:
+            self.words.clear()
+            new = wanted
+        self.learn_words(list(new))
+
+    def encode_pieces(self, texts: list[str]) -> list[bytes]:
         pieces, known = [pieces_of(x) for x in texts], self.known
         distinct = set().union(*pieces)
         new = distinct.difference(known)
@@ -102,6 +131,31 @@ class PieceEncoder:
         return [b"".join(map(known.__getitem__, own)) for own in pieces]
 
 
+#: From this character on, a pattern needs the character classes of Unicode.
+NARROW = 0x250
+WIDE = re.compile(f"[{chr(NARROW)}-\U0010ffff]")
+
+
+def narrow_pattern(pattern: str) -> re.Pattern | None:
+    """`pattern` for texts of characters below NARROW, its classes written out: the standard engine cuts twice as fast.
+
+    None if it has other classes than letters, numbers and white space.
+    """
+    signs = list(map(chr, range(NARROW)))
+    for name, tested in ((r"\p{L}", r"\p{L}"), (r"\p{N}", r"\p{N}"), (r"\s", r"\p{White_Space}")):
+        kept = regex.compile(tested)
+        pattern = pattern.replace(name, "".join(re.escape(c) for c in signs if kept.match(c)))
+    return None if r"\p" in pattern or r"\P" in pattern else re.compile(pattern)
+
+
+def lowered(text: str) -> str:
+    """Text as the tokenizer's normaliser leaves it."""
+    if text.isascii():
+        return text.lower()
+    normal = unicodedata.normalize("NFC", text)
+    return "".join(c.lower() for c in normal) if "\u03a3" in normal else normal.lower()  # no final sigma
+
+
 def portions(texts: list[str], chars: int = PORTION_CHARS) -> Iterator[tuple[int, int]]:
     """Spans of neighbouring texts of about `chars` characters; a longer text is one alone."""
     start, held = 0, 0
@@ -171,25 +225,32 @@ def filled(room: int, took: np.ndarray) -> Counter:
     return config
 
 
-def solve(histogram: dict[int, int], capacity: int, rounds: int, learning: float) -> list[tuple[Counter, float]]:
-    """Configurations and how often to use each (fractional), by multiplicative weights on the covering program.
+def solve(
+    histogram: dict[int, int], capacity: int, rounds: int, learning: float
+) -> tuple[list[tuple[Counter, float]], float]:
+    """Configurations and how often to use each (fractional), by multiplicative weights on the covering program, and a bound.
 
-    A length's price is its share of the capacity times a weight that falls with the part of it already covered. A
-    round prices all rooms by one knapsack; for each length, longest first, the dearest configuration that holds it
-    is used for a part of what is left, if its price is within SLACK of the round's best.
+    A length's price is its share of the capacity times a weight, which falls by a factor with each part of it that is
+    covered. A round prices all rooms by one knapsack; for each length, longest first, the dearest configuration that holds it
+    is used for a part of what is left, if its price is within SLACK of the round's best. No program can do with fewer sequences
+    than all pieces cost at a round's prices over the dearest configuration's price: the bound is the highest of the rounds.
     """
     lengths = np.array(sorted(histogram), dtype=np.int64)
-    counts, left, uses = dict(histogram), {k: float(v) for k, v in histogram.items()}, []
+    counts = np.array([histogram[int(x)] for x in lengths], dtype=float)
+    left, uses, bound = dict(zip(lengths.tolist(), counts.tolist(), strict=True)), [], 0.0
     for turn in range(rounds):
-        open_ = np.array([left[int(x)] >= 1 for x in lengths], dtype=bool)
+        remains = np.array(list(left.values()))
+        open_ = remains >= 1
         if not open_.any():
             break
-        here = lengths[open_]
-        remains = np.array([left[int(x)] / counts[int(x)] for x in here])
-        prices = here / capacity * np.exp(learning * (remains - 1))
-        best, took = priced(prices, here, capacity)
+        prices = lengths / capacity * np.exp(-learning * (1 - remains / counts))
+        best, took = priced(prices, lengths, capacity)
+        bound = max(bound, float((counts * prices).sum() / best[capacity]))
+        here, own = lengths[open_], prices[open_]
+        if not open_.all():
+            best, took = priced(own, here, capacity)
         part, used = 1.0 / (rounds - turn), 0
-        for length, price in zip(here[::-1].tolist(), prices[::-1].tolist(), strict=True):
+        for length, price in zip(here[::-1].tolist(), own[::-1].tolist(), strict=True):
             if price + best[capacity - length] < (1 - SLACK) * best[capacity]:
                 continue
             config = filled(capacity - length, took)
@@ -202,7 +263,7 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int, learning: float
                     left[k] -= step * v
         if not used:
             break
-    return uses
+    return uses, bound
 
 
 def best_fit(left: dict[int, int], capacity: int) -> list[tuple[Counter, int]]:
@@ -248,11 +309,9 @@ def best_fit(left: dict[int, int], capacity: int) -> list[tuple[Counter, int]]:
 
 
 def rounded(histogram: dict[int, int], capacity: int, uses: list[tuple[Counter, float]]) -> list[tuple[Counter, int]]:
-    """Whole uses of the gapless configurations, in the order found, and best fit for what they leave."""
+    """Whole uses of the configurations, with and without gaps, in the order found, and best fit for what they leave."""
     left, out = dict(histogram), []
     for config, x in uses:
-        if sum(k * v for k, v in config.items()) < capacity:
-            continue  # best fit does at least as well with what would leave a gap
         n = min(int(x), *(left[k] // v for k, v in config.items()))
         if n > 0:
             out.append((config, n))
@@ -261,10 +320,29 @@ def rounded(histogram: dict[int, int], capacity: int, uses: list[tuple[Counter,
     return out + best_fit({k: v for k, v in left.items() if v}, capacity)
 
 
+def sequences(configs: list[tuple[Counter, int]]) -> int:
+    return sum(n for _, n in configs)
+
+
+def planned(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[Counter, int]], float]:
+    """Configurations and how many sequences follow each, which together hold the histogram exactly, and the program's bound.
+
+    The rounded solutions come first; best fit alone counts only where it needs fewer sequences than each of them.
+    """
+    found, bound = [], 0.0
+    for rounds, learning in TRIES:
+        uses, low = solve(histogram, capacity, rounds, learning)
+        found.append(rounded(histogram, capacity, uses))
+        bound = max(bound, low)
+        if min(map(sequences, found)) <= math.ceil(bound - 1e-6):
+            break
+    else:
+        found.append(best_fit(histogram, capacity))
+    return min(found, key=sequences), bound
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Counter, int]]:
-    """Configurations and how many sequences follow each; together they hold the histogram exactly."""
-    tries = [rounded(histogram, capacity, solve(histogram, capacity, *x)) for x in TRIES]
-    return min(tries, key=lambda configs: sum(n for _, n in configs))
+    return planned(histogram, capacity)[0]
 
 
 def slots(configs: list[tuple[Counter, int]]) -> dict[int, np.ndarray]:

@@ -87,3 +87,38 @@ def test_plans_hold_the_histogram(seed):
             held[k] += n * v
     assert held == sizes
     assert sum(n for _, n in configs) <= sum(n for _, n in best_fit(dict(sizes), 100)) + 2
+
+
+def test_program_beats_best_fit_where_gaps_are_needed():
+    """Five lengths that leave a gap in every sequence: best fit needs 1,734, a hand packing 1,680."""
+    sizes = {1500: 1000, 1400: 1000, 1300: 1000, 700: 500, 2100: 800}
+    configs, bound = packing.planned(sizes, 4096)
+    n = packing.sequences(configs)
+    held = Counter()
+    for config, times in configs:
+        assert sum(k * v for k, v in config.items()) <= 4096
+        for k, v in config.items():
+            held[k] += times * v
+    assert held == sizes
+    assert bound <= 1680 and n <= 1690 and n <= 1.02 * bound
+    assert sum(m for _, m in best_fit(sizes, 4096)) == 1734
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bound_is_below_every_plan(seed):
+    r = random.Random(seed)
+    sizes = dict(Counter(r.randint(*[(1200, 1600), (200, 2500), (1, 4096)][seed]) for _ in range(4000)))
+    configs, bound = packing.planned(sizes, 4096)
+    n, least = packing.sequences(configs), sum(k * v for k, v in sizes.items()) / 4096
+    assert least - 1e-6 <= bound <= n <= sum(m for _, m in best_fit(sizes, 4096))
+
+
+def test_narrow_pattern_cuts_alike():
+    encoder = packing.PieceEncoder(vocabulary_path())
+    signs = [chr(c) for c in range(packing.NARROW) if not 0x1C <= c < 0x20]
+    texts = [f"a{c}1{c}!{c} {c}'s{c}{d}" for c in signs for d in "a9' .\n"]
+    assert encoder.narrow is not None
+    assert [encoder.narrow.findall(t) for t in texts] == [encoder.cutter.word.findall(t) for t in texts]
+    some = texts[::3]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(some)] == [ids(t) for t in some]
+    assert packing.narrow_pattern(r"\\p{Lu}+") is None
