@@ -1,7 +1,7 @@
 """Secret scans by a trigram index.
 
-Each rule is a regular expression with the literals that any match must hold. From them comes a Boolean query over
-trigrams of the lower-cased text: any of the alternatives, all trigrams of each. The index lists, for each trigram that
+Each rule is a regular expression. From its parse tree comes a Boolean query over trigrams of the lower-cased text that
+every match meets: any of the alternatives, all trigrams of each. The index lists, for each trigram that
 some query names, the documents that hold it; the postings are intersected for each alternative, and only the
 candidates are searched with the expression. A rule without a literal of three characters has no mandatory trigram
 and scans all texts.
@@ -15,8 +15,11 @@ each on its own. Null ids and repeated rows are kept; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,38 +33,115 @@ KEYWORD = "|".join(
 )
 
 
+#: A class of so many letters is spelled out; a larger one may be anything.
+LETTERS = 8
+#: Strings a part of a pattern, and alternatives a query, may have.
+ALTERNATIVES = 64
+
+
+def _letters(members: Iterable) -> set[str] | None:
+    """The lower-cased characters of a class, None if it has too many or names them by category."""
+    found: set[str] = set()
+    for kind, value in members:
+        name = str(kind)
+        if name == "LITERAL":
+            found.add(chr(value).lower())
+        elif name == "RANGE" and value[1] - value[0] < 2 * LETTERS:
+            found |= {chr(c).lower() for c in range(value[0], value[1] + 1)}
+        else:
+            return None
+    return found if len(found) <= LETTERS else None
+
+
+def _joined(parts: list[set[str] | None]) -> set[str] | None:
+    """The strings that a sequence of parts stands for, None if one of them may be anything or there are too many."""
+    out = {""}
+    for part in parts:
+        if part is None or len(out) * len(part) > ALTERNATIVES:
+            return None
+        out = {a + b for a in out for b in part}
+    return out
+
+
+def _parts(tree: Iterable) -> list[set[str] | None]:
+    """What must follow one another in a match: sets of strings of which one is there, None for anything or nothing."""
+    out: list[set[str] | None] = []
+    for kind, value in tree:
+        name = str(kind)
+        if name == "LITERAL":
+            out.append({chr(value).lower()})
+        elif name == "IN":
+            out.append(_letters(value))
+        elif name == "SUBPATTERN":
+            out += _parts(value[-1])
+        elif name == "BRANCH":
+            each = [_joined(_parts(way)) for way in value[1]]
+            out.append(None if None in each else set().union(*each))
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, inner = value
+            once = _joined(_parts(inner))
+            if once is not None and (low, high) == (0, 1):
+                out.append(once | {""})
+            else:
+                # a part that comes several times is known to come once, and something may follow
+                out += _parts(inner) if low else []
+                out += [] if (low, high) == (1, 1) else [None]
+        elif name != "AT":
+            out.append(None)
+    return out
+
+
+def trigrams(text: str) -> frozenset[str]:
+    return frozenset(text[i : i + 3] for i in range(len(text) - 2))
+
+
+@lru_cache(maxsize=None)
+def trigram_query(pattern: str) -> tuple[frozenset[str], ...]:
+    """Alternatives, each a set of trigrams: every match of `pattern`, in lower case, has all trigrams of one of them.
+
+    Empty if some match needs no trigram. A run of fixed parts must be in a match as one of its strings; the runs of a pattern are
+    required together, those with fewest strings first, as long as the alternatives are few.
+    """
+    runs: list[set[str]] = [{""}]
+    for part in [*_parts(re._parser.parse(pattern)), None]:
+        longer = None if part is None else _joined([runs[-1], part])
+        if longer is not None:
+            runs[-1] = longer
+        else:
+            runs.append({""} if part is None else part)
+    needs = [{trigrams(x) for x in run} for run in runs]
+    query: set[frozenset[str]] = {frozenset()}
+    for need in sorted((n for n in needs if all(n)), key=len):
+        if len(query) * len(need) <= ALTERNATIVES:
+            query = {a | b for a, b in product(query, need)}
+    # an alternative that asks for more than another one adds nothing
+    query = {q for q in query if not any(other < q for other in query)}
+    return tuple(sorted(query, key=sorted)) if all(query) else ()
+
+
 @dataclass(frozen=True)
 class Rule:
     kind: str
     pattern: str
-    #: Alternatives, lower case; a match holds at least one of them. Empty: nothing is mandatory.
-    literals: tuple[str, ...] = ()
     #: This group of the pattern must have so many characters.
     group: int = 0
     least: int = 0
     base: bool = True
 
     def branches(self) -> list[list[str]]:
-        """For each alternative the trigrams that a match of it holds; none if some alternative has no trigram."""
-        found = [sorted({x[i : i + 3] for i in range(len(x) - 2)}) for x in self.literals]
-        return found if all(found) else []
+        """For each alternative the trigrams that a match of it holds; none if nothing is mandatory."""
+        return [sorted(x) for x in trigram_query(self.pattern)]
 
 
 RULES = (
-    Rule(
-        "assign",
-        rf"""({KEYWORD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-        ("password", "passwd", "secret", "token", "apikey", "api_key"),
-        2,
-        8,
-    ),
-    Rule("access", "AKIA[A-Z0-9]+", ("akia",), 0, 16),
+    Rule("assign", rf"""({KEYWORD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    Rule("access", "AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", "[0-9a-f]{32,}"),
-    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), base=False),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"), base=False),
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", ("private key-----",), base=False),
-    Rule("google", "AIza[A-Za-z0-9_-]{35}", ("aiza",), base=False),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", ("eyj",), base=False),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", base=False),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", base=False),
+    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", base=False),
+    Rule("google", "AIza[A-Za-z0-9_-]{35}", base=False),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", base=False),
 )
 
 

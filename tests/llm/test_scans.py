@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import textwrap
 from collections import Counter
@@ -100,7 +101,83 @@ def test_secrets(spark, small, odd, empty):
 
 def test_rules_without_trigrams_scan_fully():
     assert [r.kind for r in RULES if not r.branches()] == ["hex"]
-    assert Rule("x", "ab", ("ab",)).branches() == []
+    assert Rule("x", "ab").branches() == []
+
+
+@pytest.mark.parametrize(
+    ("pattern", "query"),
+    [
+        ("AKIA[A-Z0-9]+", [["aki", "kia"]]),
+        ("a(bc|de)?fgh", [["abc", "bcf", "cfg", "fgh"], ["ade", "def", "efg", "fgh"], ["afg", "fgh"]]),
+        ("[Aa]b[cC]|xyz", [["abc"], ["xyz"]]),
+        ("(one|(two)three)[0-9]*four+", [["fou", "one", "our"], ["fou", "hre", "oth", "our", "ree", "thr", "two", "wot"]]),
+        ("abc.*(def|de)", [["abc"]]),
+        ("abc|d", []),
+        ("x+yz", []),
+        ("(abc)*", []),
+        ("(abc)+", [["abc"]]),
+        ("\\d{4}-key", [["-ke", "key"]]),
+        ("^(?:tok|sec)ret$", [["kre", "okr", "ret", "tok"], ["cre", "ecr", "ret", "sec"]]),
+    ],
+)
+def test_queries_come_from_the_pattern(pattern, query):
+    assert sorted(Rule("x", pattern).branches()) == sorted(map(sorted, query))
+
+
+def test_a_match_meets_its_query():
+    """Strings made from the patterns, with letters around them."""
+    r = random.Random(4)
+    for rule in RULES:
+        for _ in range(200):
+            text = made(re._parser.parse(rule.pattern), r)
+            assert re.search(rule.pattern, text)
+            branches = rule.branches()
+            assert not branches or any(all(t in text.lower() for t in b) for b in branches), (rule.kind, text)
+
+
+def made(tree, r):
+    """A random match of a parsed pattern."""
+    out = []
+    for kind, value in tree:
+        name = str(kind)
+        if name == "LITERAL":
+            out.append(chr(value))
+        elif name == "IN":
+            k, v = r.choice(value)
+            out.append(chr(v if str(k) == "LITERAL" else r.randint(*v)))
+        elif name == "SUBPATTERN":
+            out.append(made(value[-1], r))
+        elif name == "BRANCH":
+            out.append(made(r.choice(value[1]), r))
+        else:
+            low, high, inner = value
+            out += [made(inner, r) for _ in range(r.randint(low, min(high, low + 3)))]
+    return "".join(out)
+
+
+def test_spans_of_all_kinds(spark, small):
+    """Keys of every kind made from their patterns, in running text, against a plain search."""
+    r = random.Random(6)
+    words = ["plain", "token", "the", "key", "AKIA", "gh", "eyJ", "-----", "é世", "a1b2"]
+    rows = []
+    for i in range(150):
+        parts = r.choices(words, k=20)
+        for rule in r.sample(RULES, 3):
+            parts[r.randrange(20)] = made(re._parser.parse(rule.pattern), r) + r.choice(["", "x" * 12, "0" * 40])
+        rows.append((i, r.choice([" ", "\n", ""]).join(parts)))
+    rows += [(1000 + x["doc_id"], x["text"]) for x in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    want = {}
+    for i, text in rows:
+        found = [
+            (m.start(), k, rule.kind, m.end())
+            for k, rule in enumerate(RULES)
+            for m in re.finditer(rule.pattern, text or "")
+            if len(m.group(rule.group)) >= rule.least
+        ]
+        want[i] = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in sorted(found))
+    got = {x["doc_id"]: x["spans"] for x in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+    assert {x.split(":")[0] for v in want.values() for x in v.split(",") if x} == {rule.kind for rule in RULES}
 
 
 def test_licenses(spark, odd, empty):
