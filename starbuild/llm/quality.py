@@ -38,6 +38,7 @@ HIDDEN = 24
 EPOCHS = 120
 THRESHOLD = 0.3
 CACHE_ENTRIES = 400_000
+CACHED_CHARS = 100
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -53,7 +54,7 @@ def index_vectors() -> np.ndarray:
 def shape(piece: str) -> str:
     """What a word looks like: X, x, 9 for upper case, lower case and digits, signs as they are, runs as one."""
     out: list[str] = []
-    for c in piece[:40]:
+    for c in piece:
         s = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
         if not out or out[-1] != s:
             out.append(s)
@@ -61,7 +62,7 @@ def shape(piece: str) -> str:
 
 
 class Buckets(dict):
-    """Word to its bucket and its shape's bucket, packed into one number; bounded."""
+    """Word to its bucket and its shape's bucket, packed into one number; bounded, and without the words that are very long."""
 
     def __missing__(self, piece: str) -> int:
         if len(self) >= CACHE_ENTRIES:
@@ -69,7 +70,9 @@ class Buckets(dict):
         letters = "".join(LETTERS.findall(piece)).lower()
         word = xxhash.xxh3_64_intdigest(letters) % (BUCKETS // 2)
         look = BUCKETS // 2 + xxhash.xxh3_64_intdigest(shape(piece)) % (BUCKETS // 2)
-        value = self[piece] = word * BUCKETS + look
+        value = word * BUCKETS + look
+        if len(piece) <= CACHED_CHARS:
+            self[piece] = value
         return value
 
 

@@ -117,6 +117,13 @@ def test_classifier_of_odd_rows(spark, odd, empty):
     assert accepted(odd, marks, threshold=0.0).columns == odd.columns
 
 
+def test_shape_of_whole_words():
+    assert quality.shape("a" * 50 + "9") != quality.shape("a" * 50 + "X") and quality.shape("aB9--") == "xX9-"
+    known = quality.Buckets()
+    assert known["y" * 5000] == known["y" * 5000] and not known
+    assert known["word"] == known["word"] and len(known) == 1
+
+
 def test_network_learns_and_calibrates():
     random_ = np.random.default_rng(1)
     x = random_.normal(size=(2000, 6))
