@@ -173,3 +173,41 @@ def contaminated(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADC
         "n_shared",
         (F.col("n_shared") / F.col("q")).alias("containment"),
     )
+
+
+def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of `docs` whose text contains no item, all columns as they were.
+
+    Rows are judged by their text alone, so it does not matter whether they have a doc_id, or share it.
+    """
+    key = F.sha2("text", 256)
+    texts = docs.where(F.col("text").isNotNull()).select(key.alias("doc_id"), "text")
+    leaks = contaminated(texts, items).select(F.col("doc_id").alias("_leak")).distinct()
+    return docs.join(leaks, key == F.col("_leak"), "left_anti")
+
+
+def _words_sql(key: str, source: str) -> str:
+    return (
+        f"SELECT {key}, [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+') IF x <> ''] AS words "
+        f"FROM {source} WHERE {key} IS NOT NULL"
+    )
+
+
+#: The same rows by brute force, for DuckDB: all shingles of all documents against those of all items.
+ORACLE_SQL = f"""
+WITH d AS MATERIALIZED ({_words_sql("doc_id", "documents")}),
+i AS MATERIALIZED (SELECT item_id, words, least(len(words), {SHINGLE_WORDS}) AS width FROM ({_words_sql("item_id", "benchmark")}) w WHERE len(words) > 0),
+wanted AS MATERIALIZED (
+  SELECT DISTINCT item_id, width, array_to_string(words[pos : pos + width - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(words) - width + 2)) AS pos FROM i) r
+),
+sizes AS (SELECT item_id, count(*) AS q FROM wanted GROUP BY item_id),
+held AS (
+  SELECT DISTINCT doc_id, width, array_to_string(words[pos : pos + width - 1], ' ') AS run
+  FROM (SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS pos
+        FROM d, (SELECT DISTINCT width FROM wanted) k WHERE len(words) >= width) r
+),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM held JOIN wanted USING (width, run) GROUP BY ALL)
+SELECT doc_id, item_id, CAST(q AS INTEGER) AS n_item_shingles, n_shared, n_shared / q AS containment
+FROM shared JOIN sizes USING (item_id) WHERE 100 * n_shared >= {SIMILARITY_PERCENT} * q
+"""

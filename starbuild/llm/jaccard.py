@@ -10,8 +10,9 @@ hashes (fewer words: the whole sequence as one). Two documents link at a Jaccard
    are indexed under their prefix hashes.
 4. *Chain and pivots.* In each list of the index, and in each group, neighbours by size are compared exactly and linked;
    then, a few times over, all members of a list with one of them.
-5. *Rest.* Lists and groups that still hold more than one component: all group pairs across components are expanded to
-   members, filtered by size and by how many prefix hashes they share, and compared. A linked pair is either found
+5. *Rest.* Lists and groups that still hold more than one component: group pairs across components are filtered by size, by
+   the places at which they meet (from the first shared hash on, either prefix must have room for all that a linked pair
+   shares) and by how many prefix hashes they share, then expanded to members and compared. A linked pair is either found
    here or already connected, so components lose nothing, while a group of thousands of near copies costs about its length
    and not its square.
 
@@ -23,6 +24,7 @@ with nothing and its component is null. Empty tables give no rows; extra columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pandas as pd
@@ -32,6 +34,9 @@ from pyspark.sql import functions as F
 
 from starbuild.llm.common import SHINGLE_WORDS, SIMILARITY_PERCENT, materialize, ship
 from starbuild.llm.graph import components
+from starbuild.operators.numbering import surrogate_key
+from starbuild.operators.skew import skew_join
+from starbuild.session import materialize_counted
 
 #: Hashes known as common. Bounds the table each task holds (16 bytes each); the others keep their place by value.
 COMMON_HASHES = 200_000
@@ -39,6 +44,8 @@ COMMON_FROM = 16
 #: Leading bits of a hash that are counted; hashes that share them are common together, which only changes their place.
 COUNTED_BITS = 40
 FLUSH = 3_000_000
+#: Ids up to which they are broadcast to the documents, to select the texts of candidates: about 30 MB.
+BROADCAST_IDS = 1_000_000
 #: Rounds in which the members of each list are compared with one of them.
 PIVOT_ROUNDS = 1
 #: Likeliest partners that a document is compared with first in each other component.
@@ -179,9 +186,16 @@ def prefixes(docs: DataFrame, common: pd.DataFrame) -> DataFrame:
     return docs.mapInPandas(cut, f"doc_id {kind}, n long, sig binary, prefix_sig binary, prefix array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose texts link; `texts` may have several rows of one doc_id."""
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The stored `pairs` (a, b) of doc_ids whose texts link; `docs` may have several rows of one doc_id.
+
+    Only the texts of these pairs are moved: the ids select them, at the scan where they are few.
+    """
     kind = dict(pairs.dtypes)["a"]
+    ids, counts = materialize_counted(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    if not counts["rows"]:
+        return pairs.select("a", "b")
+    texts = docs.join(F.broadcast(ids) if counts["rows"] <= BROADCAST_IDS else ids, "doc_id", "left_semi")
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
     both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b")
     both = both.select("a", "b", "left", "right")
@@ -221,9 +235,26 @@ def neighbours(rows: DataFrame, key: list[str]) -> DataFrame:
     return side.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "n", "m")
 
 
-def join_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, links). members: doc_id, n, sig and head (the smallest doc_id with the same set) of every row;
-    links: pairs (a, b) of heads, whose components are those of all links."""
+def first_in_both(place: str, n: str, least: Column) -> Column:
+    """Whether a hash at this place of a prefix can be the first of `least` hashes that the prefix shares with another one."""
+    n_ = F.col(n)
+    return n_ - F.ceil(SIMILARITY_PERCENT * n_ / 100) + 1 - F.col(place) >= least
+
+
+def relabelled(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """`labels` (node, component) after the links `more` (a, b) are added: only components that these connect are looked at."""
+    at = labels.select(F.col("node").alias("a"), F.col("component").alias("u"))
+    ends = more.join(at, "a", "left").join(at.withColumnsRenamed({"a": "b", "u": "v"}), "b", "left")
+    ends = materialize(ends.select("a", "b", F.coalesce("u", "a").alias("u"), F.coalesce("v", "b").alias("v")))
+    new = ends.select(F.col("a").alias("node")).union(ends.select("b")).distinct().join(labels, "node", "left_anti")
+    known = labels.select("node", "component").union(new.select("node", F.col("node").alias("component")))
+    joined = components(ends.select("u", "v")).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    return materialize(known.join(joined, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
+
+
+def join_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members, labels). members: doc_id, n, sig and head (the smallest doc_id with the same set) of every row;
+    labels: node and component of every head that has links."""
     ship(docs.sparkSession)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     prefixed = materialize(prefixes(docs, common_hashes(docs)))
@@ -239,8 +270,9 @@ def join_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # One row of each group brings its prefix along.
     heads_of = groups.select(F.col("id").alias("doc_id"), F.col("prefix_sig").alias("own_sig"))
     once = named.select("doc_id", "n", "prefix_sig", "prefix").join(heads_of, "doc_id").where("prefix_sig = own_sig")
-    entries = once.select(F.col("doc_id").alias("id"), F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("place", "hash"))
+    once = once.select(F.col("doc_id").alias("id"), F.col("n").cast("int").alias("n"), "prefix")
     shared = Window.partitionBy("hash")
+    entries = once.select("id", "n", F.posexplode("prefix").alias("place", "hash"))
     lists = materialize(entries.withColumn("size", F.count("*").over(shared)).where("size > 1").drop("size"))
 
     # A pair that is side by side in few of its lists is left to the last step, which decides exactly.
@@ -250,15 +282,8 @@ def join_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     beside = beside.where(PIVOT_SHARE * F.col("lists") >= shared_least("n", "m")).select("a", "b")
     within = neighbours(in_groups.select(F.col("id").alias("group"), F.col("head").alias("id"), "n"), ["group", "n"])
     first = materialize(beside.union(within.select("a", "b")).distinct())
-    ids = lists.select("id", "n").distinct().join(in_groups, ["id", "n"]).select("head")
-    ids = ids.union(first.select("a")).union(first.select("b")).distinct()
-    texts = materialize(docs.join(ids, docs["doc_id"] == ids["head"], "left_semi"))
-    links = materialize(verified(first, texts))
-
-    def labelled() -> DataFrame:
-        return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-    labels = labelled()
+    links = materialize(verified(first, docs))
+    labels = materialize(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     for turn in range(PIVOT_ROUNDS):
         own = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         pivots = own.groupBy("hash").agg(
@@ -276,41 +301,51 @@ def join_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.count("*").alias("lists"), F.max("n").alias("n"), F.max("m").alias("m")
         )
         met = met.where(PIVOT_SHARE * F.col("lists") >= shared_least("n", "m")).select("a", "b")
-        more = materialize(verified(met, texts))
+        more = materialize(verified(materialize(met), docs))
         if more.isEmpty():
             break
-        links = materialize(links.union(more))
-        labels = labelled()
+        labels = relabelled(labels, more)
     placed = in_groups.join(labels, F.col("head") == F.col("node"), "left").select(
         "id", "n", "head", F.coalesce("component", "head").alias("component")
     )
     placed = materialize(placed)
-    # Lists and groups that still hold several components.
-    listed = lists.join(placed, ["id", "n"])
-    mixed = listed.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    # Groups that meet in lists that still hold several components.
+    groups = placed.groupBy("id", "n").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    listed = lists.join(groups, ["id", "n"])
+    mixed = listed.groupBy("hash").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least <> most")
     open_lists = materialize(listed.join(mixed.select("hash"), "hash"))
-
-    def across(rows: DataFrame, key: list[str]) -> DataFrame:
-        other = rows.select(*[F.col(k) if k in key else F.col(k).alias(f"{k}_2") for k in rows.columns])
-        return rows.join(other, key).where((F.col("component") < F.col("component_2")) & sizes_fit("n", "n_2"))
-
-    ends = F.least("head", "head_2").alias("a"), F.greatest("head", "head_2").alias("b")
+    other = open_lists.select("hash", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "place", "low", "high")])
+    least = shared_least("n", "n_2")
+    met = open_lists.join(other, "hash").where(
+        (F.col("id") < F.col("id_2"))
+        & sizes_fit("n", "n_2")
+        # From the first hash that they share on, each prefix has all that they must share.
+        & first_in_both("place", "n", least)
+        & first_in_both("place_2", "n_2", least)
+        & ((F.col("low") != F.col("high")) | (F.col("low_2") != F.col("high_2")) | (F.col("low") != F.col("low_2")))
+    )
+    met = met.select("id", "n", "id_2", "n_2").distinct()
+    # What they share of their whole prefixes filters group pairs, before members are looked at.
+    first_prefix, second_prefix = once.select("id", "prefix"), once.select(F.col("id").alias("id_2"), F.col("prefix").alias("prefix_2"))
+    both = met.join(first_prefix, "id").join(second_prefix, "id_2")
+    both = both.withColumn("lists", F.size(F.array_intersect("prefix", "prefix_2"))).where(F.col("lists") >= least)
     sides = "head", "component", "head_2", "component_2"
-    rest = across(open_lists.select("hash", "n", "head", "component"), ["hash"])
-    rest = rest.groupBy(*sides).agg(F.count("*").alias("lists"), F.max("n").alias("n"), F.max("n_2").alias("m"))
-    rest = rest.where(F.col("lists") >= shared_least("n", "m")).select(*sides, "lists")
-    split = placed.groupBy("id", "n").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    same = placed.join(split.where("low <> high").select("id", "n"), ["id", "n"])
-    other = same.select("id", "n", F.col("head").alias("head_2"), F.col("component").alias("component_2"))
-    inside = same.join(other, ["id", "n"]).where("component < component_2").select(*sides, F.lit(1).alias("lists"))
+    second = placed.select(F.col("id").alias("id_2"), F.col("n").alias("n_2"), F.col("head").alias("head_2"), F.col("component").alias("component_2"))
+    rest = both.select("id", "n", "id_2", "n_2", "lists").join(placed, ["id", "n"]).join(second, ["id_2", "n_2"])
+    rest = rest.where("component <> component_2").select(*sides, "lists")
+    split = groups.where("low <> high").select("id", "n")
+    same = placed.join(split, ["id", "n"])
+    inner = same.select("id", "n", F.col("head").alias("head_2"), F.col("component").alias("component_2"))
+    inside = same.join(inner, ["id", "n"]).where("component < component_2").select(*sides, F.lit(1).alias("lists"))
     rest = materialize(rest.union(inside))
+    ends = F.least("head", "head_2").alias("a"), F.greatest("head", "head_2").alias("b")
     # The likeliest partners first: most documents are connected by them, and need no other comparison.
     best = F.row_number().over(Window.partitionBy("head", "component_2").orderBy(F.desc("lists"), "head_2"))
     back = F.row_number().over(Window.partitionBy("head_2", "component").orderBy(F.desc("lists"), "head"))
     near = rest.withColumn("best", best).where(F.col("best") <= BEST_PARTNERS).select(*ends)
     near = near.union(rest.withColumn("best", back).where(F.col("best") <= BEST_PARTNERS).select(*ends)).distinct()
-    links = materialize(links.union(verified(near, texts)))
-    labels = labelled()
+    near = materialize(near)
+    labels = relabelled(labels, materialize(verified(near, docs)))
     apart = (
         rest.select("head", "head_2")
         .join(labels.select(F.col("node").alias("head"), F.col("component").alias("c")), "head", "left")
@@ -319,25 +354,79 @@ def join_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select(*ends)
         .distinct()
     )
-    more = verified(apart.join(near, ["a", "b"], "left_anti"), texts)
-    return members, materialize(links.union(more))
+    more = verified(materialize(apart.join(near, ["a", "b"], "left_anti")), docs)
+    # A doc_id with several sets connects them.
+    several = named.groupBy("doc_id").agg(F.count_distinct("sig").alias("sets")).where("sets > 1").select("doc_id")
+    own_sets = members.where("head <> doc_id").join(several, "doc_id", "left_semi")
+    more = more.union(own_sets.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
+    return members, relabelled(labels, materialize(more))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of `docs` (doc_id, text)."""
-    members, links = join_links(docs)
+    members, labels = join_labels(docs)
     kind = dict(docs.dtypes)["doc_id"]
-    copies = members.where("head <> doc_id").select(F.col("doc_id").alias("u"), F.col("head").alias("v"))
-    labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(copies))
-    return members.join(labels, F.col("doc_id") == F.col("node"), "left").select(
+    return members.join(labels, F.col("head") == F.col("node"), "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.coalesce("component", "doc_id").cast(kind).alias("component_id"),
+        F.coalesce("component", "head", "doc_id").cast(kind).alias("component_id"),
     )
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose document is the first of its component, one for each; rows without doc_id stay."""
-    keep = near_duplicates(docs).where("component_id = doc_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """The rows of `docs` (doc_id long, text), one for each group of near duplicates: the one with the smallest doc_id.
+
+    Rows are judged one by one. Where several rows share a doc_id, or have none, each different text is a document of its own,
+    numbered behind the largest doc_id in the order of doc_id (nulls first) and text hash; rows that agree in both count once. Rows without
+    words are linked with nothing and all stay.
+    """
+    shared = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("_id"))
+    shared = materialize(shared)
+    if shared.isEmpty():
+        keep = near_duplicates(docs).where("component_id = doc_id").select(F.col("doc_id").alias("_keep"))
+        return docs.join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
+    if docs.schema["doc_id"].dataType.simpleString() != "bigint":
+        raise ValueError("rows that share a doc_id can only be told apart where it is a long")
+    same = docs["doc_id"].eqNullSafe(shared["_id"])
+    alone = docs.join(shared, same, "left_anti").withColumn("_node", F.col("doc_id"))
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    several = docs.join(shared, same, "left_semi").withColumn("_key", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), text))
+    numbers = surrogate_key(several.select("doc_id", "_key").distinct(), "_node", ["doc_id", "_key"], "bigint")
+    last = docs.agg(F.max("doc_id")).first()[0] or 0
+    numbers = numbers.select("_key", (F.col("_node") + F.lit(last).cast("bigint")).alias("_node"))
+    several = skew_join(several, numbers, ["_key"]).drop("_key")
+    rows = alone.unionByName(several)
+    found = near_duplicates(rows.select(F.col("_node").alias("doc_id"), "text")).where("component_id = doc_id")
+    found = materialize(found.select(F.col("doc_id").alias("_keep"), (F.col("n_shingles") > 0).alias("_words")).distinct())
+    # several copies of one row: one of them stays, unless it has no words
+    kept = several.join(found, F.col("_node") == F.col("_keep"))
+    once = kept.where("_words").dropDuplicates(["_node"]).unionByName(kept.where("not _words"))
+    first = alone.join(found, F.col("_node") == F.col("_keep"), "left_semi")
+    return first.select(*docs.columns).unionByName(once.select(*docs.columns))
+
+
+#: The same rows by brute force, for DuckDB: all pairs that share a shingle, and what each document reaches.
+ORACLE_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + {SHINGLE_WORDS - 1}], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {SHINGLE_WORDS - 1}, 1) + 1)) AS i FROM w WHERE len(words) > 0) runs
+),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS MATERIALIZED (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared
+  FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+),
+l AS MATERIALIZED (
+  SELECT u, v FROM p JOIN n AS a ON a.doc_id = u JOIN n AS b ON b.doc_id = v
+  WHERE 100 * shared >= {SIMILARITY_PERCENT} * (a.n + b.n - shared)
+),
+e AS MATERIALIZED (SELECT u, v FROM l UNION SELECT v, u FROM l),
+r AS (SELECT u AS node, u AS reached FROM e UNION SELECT r.node, e.v FROM r JOIN e ON r.reached = e.u),
+m AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.component_id, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN m ON m.node = w.doc_id
+"""

@@ -10,8 +10,10 @@ from starbuild.llm.centroids import ORACLE_SQL as CENTROIDS_SQL
 from starbuild.llm.centroids import cluster_report
 from starbuild.llm.common import table
 from starbuild.llm.conversations import repair_report
+from starbuild.llm.decontaminate import ORACLE_SQL as LEAKS_SQL
 from starbuild.llm.decontaminate import contaminated
 from starbuild.llm.fingerprints import fingerprint_edits
+from starbuild.llm.jaccard import ORACLE_SQL as COMPONENTS_SQL
 from starbuild.llm.jaccard import near_duplicates
 from starbuild.llm.licenses import NOTICES, SPELLINGS, TEXTS, licensed
 from starbuild.llm.packing import pack
@@ -92,4 +94,8 @@ QUERIES = {
     "op12_bpe": op12_bpe,
     "op13_conversations": op13_conversations,
 }
-ORACLE: dict[str, str] = {"op11_centroids": CENTROIDS_SQL}
+ORACLE: dict[str, str] = {
+    "op1_decontamination": LEAKS_SQL,
+    "op4_ngram_jaccard": COMPONENTS_SQL,
+    "op11_centroids": CENTROIDS_SQL,
+}

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from starbuild.llm.decontaminate import contaminated
+from starbuild.llm.decontaminate import contaminated, without_leaks
 from starbuild.llm.graph import components
 from starbuild.llm.jaccard import first_of_each, near_duplicates
 
@@ -51,7 +51,39 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert near_duplicates(empty).count() == 0
     kept = first_of_each(odd)
     assert kept.columns == odd.columns
-    assert kept.where("doc_id is null").count() == 2
+    assert kept.where("doc_id is null").count() == 1  # two equal rows
+
+
+def test_no_row_is_lost_for_its_id(spark):
+    """Different texts stay whatever ids they share; near copies go whether or not they have ids."""
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    base = [" ".join(r.choices(words, k=60)) for _ in range(6)]
+    near = [f"{t} tail" for t in base]
+    rows = [(1, base[0], "a"), (1, base[1], "b"), (1, base[1], "b2"), (None, base[2], "c"), (None, base[2], "d"), (None, near[2], "e")]
+    rows += [(7, near[0], "f"), (8, base[3], "g"), (None, near[3], "h"), (1, None, "i"), (1, "", "j"), (None, None, "k"), (None, None, "l")]
+    rows += [(20, base[4], "m"), (30, near[4], "n"), (40, base[5], "o")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    kept = first_of_each(docs)
+    assert kept.columns == docs.columns
+    left = {x["source"] for x in kept.collect()}
+    assert len(kept.collect()) == len(left)
+    # of each group one: f and a (7 has an id of its own), b or b2, one of c, d, e, and g before h
+    assert left - {"b", "b2", "c", "d", "e"} == {"f", "g", "i", "j", "k", "l", "m", "o"}
+    assert len(left & {"b", "b2"}) == 1 and len(left & {"c", "d", "e"}) == 1
+    alone = docs.where("doc_id > 7")
+    assert {x["source"] for x in first_of_each(alone).collect()} == {"g", "m", "o"}
+    assert first_of_each(docs.limit(0)).collect() == []
+
+
+def test_leaks_are_found_without_ids(spark):
+    item = "one two three four five six seven eight nine"
+    rows = [(1, f"before {item} after", "a"), (1, "nothing in here at all", "b"), (None, f"x {item}", "c"), (None, None, "d"), (2, "", "e"), (3, f"before {item} after", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    assert sorted(r["source"] for r in without_leaks(docs, items).collect()) == ["b", "d", "e"]
+    assert without_leaks(docs, items).columns == docs.columns
+    assert without_leaks(docs, items.limit(0)).count() == 6
 
 
 def test_components_of_a_long_path(spark):
