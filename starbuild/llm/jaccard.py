@@ -11,8 +11,8 @@ hashes (fewer words: the whole sequence as one). Two documents link at a Jaccard
 4. *Chain and pivots.* In each list of the index, and in each group, neighbours by size are compared exactly and linked;
    then, a few times over, all members of a list with one of them.
 5. *Rest.* Lists and groups that still hold more than one component: group pairs across components are filtered by size, by
-   the places at which they meet (from the first shared hash on, either prefix must have room for all that a linked pair
-   shares) and by how many prefix hashes they share, then expanded to members and compared. A linked pair is either found
+   how often they meet early in their prefixes (after each shared hash, either set must have room for all others that a
+   linked pair shares) and by how many prefix hashes they share, then expanded to members and compared. A linked pair is either found
    here or already connected, so components lose nothing, while a group of thousands of near copies costs about its length
    and not its square.
 
@@ -52,6 +52,8 @@ PIVOT_ROUNDS = 1
 BEST_PARTNERS = 2
 #: A pair is worth a comparison in these rounds when it meets in so many of the lists it must share.
 PIVOT_SHARE = 4
+#: Shared hashes by which group pairs are found.
+EARLY_MEETINGS = 4
 WORD_CACHE = 500_000
 WEIGHTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -222,9 +224,8 @@ def shared_least(a: Column | str, b: Column | str) -> Column:
     Up to the end of the prefix that ends first in the order, shared hashes are in both prefixes; after it that set has
     only ceil(0.8 n) - 1 hashes left.
     """
-    a, b = F.col(a), F.col(b)
-    overlap = F.ceil(SIMILARITY_PERCENT * (a + b) / (100 + SIMILARITY_PERCENT))
-    return F.greatest(overlap - F.ceil(SIMILARITY_PERCENT * F.greatest(a, b) / 100) + 1, F.lit(1))
+    larger = F.greatest(F.col(a), F.col(b))
+    return F.greatest(overlap(a, b) - F.ceil(SIMILARITY_PERCENT * larger / 100) + 1, F.lit(1))
 
 
 def neighbours(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -235,10 +236,17 @@ def neighbours(rows: DataFrame, key: list[str]) -> DataFrame:
     return side.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "n", "m")
 
 
-def first_in_both(place: str, n: str, least: Column) -> Column:
-    """Whether a hash at this place of a prefix can be the first of `least` hashes that the prefix shares with another one."""
-    n_ = F.col(n)
-    return n_ - F.ceil(SIMILARITY_PERCENT * n_ / 100) + 1 - F.col(place) >= least
+def overlap(a: Column | str, b: Column | str) -> Column:
+    """How many hashes linked sets of these sizes share at least."""
+    return F.ceil(SIMILARITY_PERCENT * (F.col(a) + F.col(b)) / (100 + SIMILARITY_PERCENT))
+
+
+def early(place: str, n: str, shared: Column, nth: Column) -> Column:
+    """Whether a hash at this place of a set can be one of the first `nth` hashes that it shares with another one.
+
+    All others of the `shared` hashes come after it.
+    """
+    return F.col(place) <= F.col(n) - shared + nth - 1
 
 
 def relabelled(labels: DataFrame, more: DataFrame) -> DataFrame:
@@ -316,15 +324,17 @@ def join_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     open_lists = materialize(listed.join(mixed.select("hash"), "hash"))
     other = open_lists.select("hash", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "place", "low", "high")])
     least = shared_least("n", "n_2")
+    # The first few hashes that a linked pair shares stand early in both prefixes: it meets so often there.
+    nth = F.least(least, F.lit(EARLY_MEETINGS))
+    shared_all = overlap("n", "n_2")
     met = open_lists.join(other, "hash").where(
         (F.col("id") < F.col("id_2"))
         & sizes_fit("n", "n_2")
-        # From the first hash that they share on, each prefix has all that they must share.
-        & first_in_both("place", "n", least)
-        & first_in_both("place_2", "n_2", least)
+        & early("place", "n", shared_all, nth)
+        & early("place_2", "n_2", shared_all, nth)
         & ((F.col("low") != F.col("high")) | (F.col("low_2") != F.col("high_2")) | (F.col("low") != F.col("low_2")))
     )
-    met = met.select("id", "n", "id_2", "n_2").distinct()
+    met = met.groupBy("id", "n", "id_2", "n_2").agg(F.count("*").alias("meetings")).where(F.col("meetings") >= nth)
     # What they share of their whole prefixes filters group pairs, before members are looked at.
     first_prefix, second_prefix = once.select("id", "prefix"), once.select(F.col("id").alias("id_2"), F.col("prefix").alias("prefix_2"))
     both = met.join(first_prefix, "id").join(second_prefix, "id_2")
