@@ -1,16 +1,15 @@
 """The corpus pipeline: five stages, each over all that the one before kept.
 
-Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of documents. Rows with
-null texts or ids pass through the filters that cannot judge them as the operators' docstrings say.
+Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of documents. Every row is
+judged, with or without a doc_id of its own; rows without text pass the filters that have nothing to judge.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starbuild.llm.common import materialize, table
-from starbuild.llm.decontaminate import contaminated
+from starbuild.llm.decontaminate import without_leaks
 from starbuild.llm.jaccard import first_of_each
 from starbuild.llm.packing import pack
 from starbuild.llm.quality import accepted
@@ -29,8 +28,7 @@ def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col("doc_id") == F.col("_leak"), "left_anti")
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
