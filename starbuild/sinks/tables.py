@@ -82,6 +82,16 @@ def _replace(df: DataFrame, table: str, root: str | None, partition_by: Sequence
         spark.sql(f"DROP TABLE {old}")
 
 
+def with_part(df: DataFrame, keys: Sequence[str], parts: int, name: str = "part") -> DataFrame:
+    """`df` with the part, 0 to `parts` - 1, that its key falls into by hash: a partition column for tables merged by key.
+
+    Stored by it, with about as many parts as the table should have files, an increment rewrites the parts that hold one of its keys
+    and leaves the files of all others. Merge by the part and the key; both loads must name the same `keys` and `parts`. Null
+    is a key like any other here.
+    """
+    return df.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+
+
 def overwrite(
     df: DataFrame,
     table: str,

@@ -16,7 +16,7 @@ from starbuild.plans.mart import MartTables, build_mart
 from starbuild.plans.profile import profile, profile_sets
 from starbuild.plans.staging import StagingTables, stage_activity_pages, stage_athlete_text, stage_children
 from starbuild.session import Counted, materialize_counted
-from starbuild.sinks import merge_into, overwrite
+from starbuild.sinks import merge_into, overwrite, with_part
 from starbuild.sources import (
     check_pages,
     fitting,
@@ -307,6 +307,24 @@ def test_partitions_that_an_increment_touches(spark, tmp_path):
     assert spark.table(table).count() == 40 and set(spark.table(table).columns) == {"k", "p"}
 
 
+def test_files_that_an_increment_leaves(spark, tmp_path):
+    table = f"by_part_{tmp_path.name}".replace("-", "_")
+    df = spark.range(1000).selectExpr("id as k", "cast(id as string) as v")
+    overwrite(with_part(df, ["k"], 16), table, partition_by=["part"], root=str(tmp_path))
+
+    def files():
+        return {(r.part, r.f) for r in spark.table(table).select("part", F.col("_metadata.file_path").alias("f")).distinct().collect()}
+
+    before = files()
+    source = with_part(spark.createDataFrame([(7, "new"), (5000, "more")], "k long, v string"), ["k"], 16)
+    touched = {r.part for r in source.collect()}
+    found = merge_into(table, source, ["part", "k"], root=str(tmp_path))
+    assert found.count() == 1001 and {r.v for r in found.filter("k in (7, 5000)").collect()} == {"new", "more"}
+    assert {p for p, _ in before} == set(range(16))
+    assert {x for x in files() if x[0] not in touched} == {x for x in before if x[0] not in touched}
+    assert before - files() == {x for x in before if x[0] in touched}
+
+
 # --- counts on the way ---
 
 
