@@ -28,6 +28,7 @@ from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,6 +56,7 @@ PIVOT_SHARE = 4
 #: Shared hashes by which group pairs are found.
 EARLY_MEETINGS = 4
 WORD_CACHE = 500_000
+SLICE = 100
 WEIGHTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
@@ -85,6 +87,13 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(out ^ (out >> np.uint64(29)))
 
 
+def in_slices(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """The rows of a batch; only SLICE of them at a time are Python objects."""
+    for at in range(0, batch.num_rows, SLICE):
+        part = batch.slice(at, SLICE)
+        yield from zip(*(part.column(c).to_pylist() for c in columns), strict=True)
+
+
 def needed(n: int) -> int:
     """The smallest overlap with a linked document."""
     return (SIMILARITY_PERCENT * n + 99) // 100
@@ -108,26 +117,25 @@ def common_hashes(docs: DataFrame, bound: int = COMMON_HASHES) -> pd.DataFrame:
     """lead, n: the leading bits of the hashes in the most documents (at least COMMON_FROM), as many as `bound`."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             value, n = np.unique(np.concatenate(held), return_counts=True)
             bucket = (value * np.uint64(buckets)) >> np.uint64(COUNTED_BITS)
             cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
             spans = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
             low, high = (n & 0xFF).astype(np.uint8), (n >> 8).astype("<u4")
-            return pd.DataFrame(
-                {
-                    "bucket": [i for i, *_ in spans],
-                    "leads": [planes(value[a:b]) for _, a, b in spans],
-                    "counts": [low[a:b].tobytes() for _, a, b in spans],
-                    "more": [high[a:b].tobytes() if high[a:b].any() else b"" for _, a, b in spans],
-                }
-            )
+            columns = {
+                "bucket": pa.array([i for i, *_ in spans], pa.int32()),
+                "leads": pa.array([planes(value[a:b]) for _, a, b in spans], pa.binary()),
+                "counts": pa.array([low[a:b].tobytes() for _, a, b in spans], pa.binary()),
+                "more": pa.array([high[a:b].tobytes() if high[a:b].any() else b"" for _, a, b in spans], pa.binary()),
+            }
+            return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
         for batch in batches:
-            for text in batch["text"]:
+            for (text,) in in_slices(batch, "text"):
                 own = shingles(text) >> np.uint64(64 - COUNTED_BITS)
                 held.append(own)
                 size += len(own)
@@ -152,7 +160,7 @@ def common_hashes(docs: DataFrame, bound: int = COMMON_HASHES) -> pd.DataFrame:
         often = n >= COMMON_FROM
         return pd.DataFrame({"lead": value[first][often].astype(np.int64), "n": n[often]})
 
-    parts = docs.select("text").mapInPandas(counted, "bucket int, leads binary, counts binary, more binary")
+    parts = docs.select("text").mapInArrow(counted, "bucket int, leads binary, counts binary, more binary")
     often = parts.groupBy("bucket").applyInPandas(summed, "lead long, n long")
     return often.orderBy(F.desc("n"), "lead").limit(bound).toPandas()
 
@@ -163,14 +171,14 @@ def prefixes(docs: DataFrame, common: pd.DataFrame) -> DataFrame:
     by_value = np.argsort(value)
     value, often = value[by_value], common["n"].to_numpy(np.int64)[by_value]
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for (text,) in in_slices(batch, "text"):
                 own = shingles(text)
                 n = len(own)
                 if not n:
-                    rows.append((doc_id, 0, b"", b"", []))
+                    rows.append((0, b"", b"", []))
                     continue
                 sig = xxhash.xxh3_128_digest(own.tobytes())
                 keep = n - needed(n) + 1
@@ -181,11 +189,13 @@ def prefixes(docs: DataFrame, common: pd.DataFrame) -> DataFrame:
                     if rank.any():
                         own = own[np.argsort(rank, kind="stable")]
                 own = own[:keep]
-                rows.append((doc_id, n, sig, xxhash.xxh3_128_digest(own.tobytes()), own.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "sig", "prefix_sig", "prefix"])
+                rows.append((n, sig, xxhash.xxh3_128_digest(own.tobytes()), own.view(np.int64)))
+            kinds = pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "sig", "prefix_sig", "prefix"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInPandas(cut, f"doc_id {kind}, n long, sig binary, prefix_sig binary, prefix array<long>")
+    return docs.mapInArrow(cut, f"doc_id {kind}, n long, sig binary, prefix_sig binary, prefix array<long>")
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -202,15 +212,15 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b")
     both = both.select("a", "b", "left", "right")
 
-    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hits = []
-            for x, y in zip(batch["left"], batch["right"], strict=True):
+            for x, y in in_slices(batch, "left", "right"):
                 p, q = shingles(x), shingles(y)
                 hits.append(linked(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q)))
-            yield batch.loc[hits, ["a", "b"]]
+            yield batch.select(["a", "b"]).filter(pa.array(hits, pa.bool_()))
 
-    return both.mapInPandas(compared, f"a {kind}, b {kind}").distinct()
+    return both.mapInArrow(compared, f"a {kind}, b {kind}").distinct()
 
 
 def sizes_fit(a: Column | str, b: Column | str) -> Column:
