@@ -2,8 +2,8 @@
 
 Components become integers, so that sums, distances and ties are exact and do not depend on the order of rows. A
 distance is |x|^2 + |c|^2 - 2 x.c: `zip_with` and `aggregate` give the product of a vector with each
-centroid, a literal array, and `array_min` over structs (distance, number) names the nearest centroid, the smaller number on
-a tie. New centroids come from one grouped sum for each component, combined before the shuffle, so that only
+centroid, and `array_min` over structs (distance, number) names the nearest centroid, the smaller number on
+a tie. Literal arrays hold the centroids, several side by side in the bits of each number where the lengths of the vectors allow it. New centroids come from one grouped sum for each component, combined before the shuffle, so that only
 one row for each centroid reaches the driver, however large a cluster is.
 
 Defined results: a vector that is null, of another length, or has a null or non-finite component is left out. Rows with
@@ -16,11 +16,13 @@ Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starbuild.llm.common import materialize
+from starbuild.session import materialize_counted
 
 COMPONENTS = 64
 SCALE = 256
@@ -52,22 +54,44 @@ def starts(kept: DataFrame, count: int = CENTROIDS) -> list[list[int]]:
     return [r.x for r in kept.orderBy(digest.asc_nulls_last(), "x").select("x").limit(count).collect()]
 
 
-def nearest(centroids: list[list[int]]) -> Column:
-    """The struct (distance, cluster) of the centroid nearest to `x`."""
+def lanes_for(centroids: list[list[int]], largest_norm: int) -> tuple[int, int]:
+    """(lanes, bits): how many products with centroids fit side by side in a long, and the width of each.
+
+    No product, nor the sum of some of its terms, is beyond the product of both lengths.
+    """
+    most = max(sum(c * c for c in centroid) for centroid in centroids)
+    bits = ((math.isqrt(largest_norm) + 1) * (math.isqrt(most) + 1)).bit_length() + 1
+    return max(1, 63 // bits), bits
+
+
+def nearest(centroids: list[list[int]], largest_norm: int) -> Column:
+    """The struct (distance, cluster) of the centroid nearest to `x`, whose norm is at most `largest_norm`.
+
+    A literal array carries several centroids, each in bits of its own of every element, so that one product of arrays is the
+    product with each of them.
+    """
+    lanes, bits = lanes_for(centroids, largest_norm)
     each = []
-    for number, centroid in enumerate(centroids):
-        literal = f"array({', '.join(f'{c}L' for c in centroid)})"
-        product = f"aggregate(zip_with(x, {literal}, (a, c) -> a * c), 0L, (sum, p) -> sum + p)"
-        own = sum(c * c for c in centroid)
-        each.append(f"named_struct('distance', norm + {own}L - 2L * {product}, 'cluster', {number})")
+    for first in range(0, len(centroids), lanes):
+        some = centroids[first : first + lanes]
+        literal = ", ".join(f"{sum(c << bits * lane for lane, c in enumerate(column))}L" for column in zip(*some))
+        product = f"aggregate(zip_with(x, array({literal}), (a, c) -> a * c), 0L, (sum, p) -> sum + p)"
+        structs = []
+        for lane, centroid in enumerate(some):
+            # the lowest lane is the rest of the number, with its sign; without it, the next one is the lowest
+            held = "p" if lane == 0 else f"shiftright(p + {sum(1 << bits * k for k in range(lane)) << bits - 1}L, {bits * lane})"
+            own = held if len(some) == 1 or lane == len(some) - 1 else f"shiftright(shiftleft({held}, {64 - bits}), {64 - bits})"
+            norm = sum(c * c for c in centroid)
+            structs.append(f"named_struct('distance', norm + {norm}L - 2L * {own}, 'cluster', {first + lane})")
+        each.append(f"array_min(transform(array({product}), p -> array_min(array({', '.join(structs)}))))")
     return F.expr(f"array_min(array({', '.join(each)}))")
 
 
-def moved(kept: DataFrame, centroids: list[list[int]]) -> list[list[int]]:
+def moved(kept: DataFrame, centroids: list[list[int]], largest_norm: int) -> list[list[int]]:
     """The centroids after one round: the floor of each cluster's mean, or the old one where a cluster is empty."""
     sums = [F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(len(centroids[0]))]
     clusters = (
-        kept.select(nearest(centroids)["cluster"].alias("cluster"), "x")
+        kept.select(nearest(centroids, largest_norm)["cluster"].alias("cluster"), "x")
         .groupBy("cluster")
         .agg(F.count("*").alias("n"), *sums)
         .collect()
@@ -86,13 +110,14 @@ def cluster(
     scale: int = SCALE,
 ) -> tuple[DataFrame, list[list[int]]]:
     """vec_id, cluster and distance (squared) of each kept vector of `vectors` (vec_id, embedding), and the centroids."""
-    kept = materialize(integer_vectors(vectors, components, scale))
+    kept, counts = materialize_counted(integer_vectors(vectors, components, scale), largest=F.max("norm"))
+    largest = counts["largest"] or 0
     middle = starts(kept, centroids)
     if not middle:
         return kept.selectExpr("vec_id", "0 as cluster", "0L as distance").limit(0), []
     for _ in range(rounds):
-        middle = moved(kept, middle)
-    best = kept.select("vec_id", nearest(middle).alias("best"))
+        middle = moved(kept, middle, largest)
+    best = kept.select("vec_id", nearest(middle, largest).alias("best"))
     return best.select("vec_id", "best.cluster", "best.distance"), middle
 
 
