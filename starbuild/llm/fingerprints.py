@@ -114,22 +114,28 @@ def fingerprint_edits(docs: DataFrame, k: int = K) -> DataFrame:
     The edited text has its last third replaced by the beginning of the next document (descending doc_id).
     """
     text = F.coalesce("text", F.lit(""))
+    kind = docs.schema["doc_id"].dataType
+
+    def key(doc_id: str) -> list[Column]:
+        # without nulls, all three joins can use one partitioning
+        return [F.coalesce(F.col(doc_id), F.lit("0").cast(kind)).alias("id"), F.col(doc_id).isNull().alias("no_id")]
+
+    on = ["id", "no_id", "row_key"]
     rows = docs.select("doc_id", F.xxhash64(text).alias("row_key"), text.alias("text"))
-    near = neighbours(rows.withColumn("n_chars", F.length("text")))
-    near = near.select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"), "next", "previous")
-    placed = rows.join(near, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key")))
+    near = neighbours(rows.withColumn("n_chars", F.length("text"))).select(*key("doc_id"), "row_key", "next", "previous")
+    # read twice below with the same columns, so that the texts are moved once
+    placed = rows.select(*key("doc_id"), "row_key", "text").join(near, on)
     heads = placed.select(
-        F.col("previous.doc_id").alias("id"),
-        F.col("previous.row_key").alias("key"),
+        *key("previous.doc_id"),
+        "previous.row_key",
         F.substring("text", F.lit(1), F.floor(F.col("previous.n_chars") / 3).cast("int")).alias("head"),
         sketch(F.col("text"), k).alias("next_sketch"),
-    ).dropDuplicates(["id", "key"])
-    both = placed.select("doc_id", "row_key", "text").join(
-        heads, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key"))
-    )
+    ).dropDuplicates(on)
+    both = placed.select(*on, "text").join(heads, on)
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), F.col("head"))
-    sketched = both.select("doc_id", "text", edited.alias("edited"), "next_sketch").select(
+    doc_id = F.when(~F.col("no_id"), F.col("id")).alias("doc_id")
+    sketched = both.select(doc_id, "text", edited.alias("edited"), "next_sketch").select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
