@@ -35,23 +35,23 @@ def profile_sets(zone: DataFrame, bucket: DataFrame) -> DataFrame:
     """The counts of counts of `profile` in one pass: report, type, min, max, count and groups.
 
     Each table is read once, as rows of one narrow frame. Rows are added up by zone and range, zones lend their type to their
-    ranges, and grouping sets count all levels in one shuffle. All three shuffles carry partial counts, so a key with very many
-    rows is no hot key. Columns that a report does not tell apart are null in it.
+    ranges, and the first row of each zone and of each activity stands for it. Report rows are counted by report, so the
+    last shuffle carries partial counts of few keys and no task holds a key per range. Columns that a report does not tell apart are null in it.
     """
     zones = zone.select(*ZONE_KEY, "type", F.lit(None).cast("int").alias("min"), F.lit(None).cast("int").alias("max"), F.lit(1).alias("zones"), F.lit(0).alias("buckets"))
     buckets = bucket.select(*ZONE_KEY, F.lit(None).cast("string").alias("type"), "min", "max", F.lit(0).alias("zones"), F.lit(1).alias("buckets"))
     sums = [F.sum("zones").alias("zones"), F.sum("buckets").alias("buckets")]
     folded = zones.unionByName(buckets).groupBy(*ZONE_KEY, "min", "max").agg(F.max("type").alias("type"), *sums)
-    of_zone = Window.partitionBy(*ZONE_KEY)
-    typed = folded.select(
-        *ZONE_KEY, F.max("type").over(of_zone).alias("type"), "min", "max", "zones", "buckets",
+    # one shuffle by activity serves the windows of activities and of zones, whose partitioning it satisfies; each folded
+    # row is a range, the first of a zone or of an activity stands for it, so no aggregate over many keys is left to run
+    of_zone, of_activity = Window.partitionBy(*ZONE_KEY), Window.partitionBy("activity_id")
+    typed = folded.repartition("activity_id").select(
+        *ZONE_KEY, F.max("type").over(of_zone).alias("type"), "min", "max", "buckets",
         (F.sum("zones").over(of_zone) > 0).alias("known"),
+        F.sum("buckets").over(of_zone).alias("zone_buckets"), F.sum("zones").over(of_activity).alias("activity_zones"),
+        (F.row_number().over(of_zone.orderBy("min", "max")) == 1).alias("zone_first"),
+        (F.row_number().over(of_activity.orderBy("zone_seq_no", "min", "max")) == 1).alias("activity_first"),
     )
-    # a bit of the level is set for each column left out: all but the activity, or none but min and max, or none
-    per_activity, per_zone, per_range = 0b011111, 0b000011, 0
-    sets = [["activity_id"], [*ZONE_KEY, "known", "type"], [*ZONE_KEY, "known", "type", "min", "max"]]
-    columns = sets[-1]
-    counted = typed.groupingSets([[F.col(c) for c in names] for names in sets], *columns).agg(F.grouping_id().alias("level"), *sums)
 
     def report(name: str, count: str, *told: str) -> Column:
         return F.struct(
@@ -59,14 +59,14 @@ def profile_sets(zone: DataFrame, bucket: DataFrame) -> DataFrame:
             *[(F.col(c) if c in told else F.lit(None).cast(kind)).alias(c) for c, kind in (("type", "string"), ("min", "int"), ("max", "int"))],
         )
 
-    level, known = F.col("level"), F.col("known")
+    known, zone_first = F.col("known"), F.col("zone_first") & (F.col("zone_buckets") > 0)
     reports = F.array_compact(
         F.array(
-            F.when((level == per_activity) & (F.col("zones") > 0), report("zones_per_activity", "zones")),
-            F.when((level == per_zone) & (F.col("buckets") > 0), report("buckets_per_zone", "buckets")),
-            F.when((level == per_zone) & known & (F.col("buckets") > 0), report("buckets_per_zone_by_type", "buckets", "type")),
-            F.when((level == per_range) & known & (F.col("buckets") > 0), report("range_counts", "buckets", "type", "min", "max")),
+            F.when(F.col("activity_first") & (F.col("activity_zones") > 0), report("zones_per_activity", "activity_zones")),
+            F.when(zone_first, report("buckets_per_zone", "zone_buckets")),
+            F.when(zone_first & known, report("buckets_per_zone_by_type", "zone_buckets", "type")),
+            F.when(known & (F.col("buckets") > 0), report("range_counts", "buckets", "type", "min", "max")),
         )
     )
     names = ["report", "type", "min", "max", "count"]
-    return counted.select(F.inline(reports)).groupBy(*names).agg(F.count("*").alias("groups"))
+    return typed.select(F.inline(reports)).groupBy(*names).agg(F.count("*").alias("groups"))

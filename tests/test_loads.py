@@ -386,6 +386,22 @@ def test_profile_in_one_pass(spark):
         )
 
 
+def test_profile_sets_holds_no_key_per_range(spark):
+    """Reports come from one window pass: no grouping sets that keep a key for every range in one task; null and repeated keys too."""
+    zones = spark.createDataFrame([(1, 0, "power"), (1, 0, "power"), (None, 0, "power"), (None, None, None)], "activity_id long, zone_seq_no int, type string")
+    buckets = spark.createDataFrame(
+        [(1, 0, 0, 9), (1, 0, 0, 9), (None, 0, 1, 2), (None, None, None, None), (1, 1, 3, 4)], "activity_id long, zone_seq_no int, min int, max int"
+    ).withColumn("time", F.lit(1))
+    found = profile_sets(zones, buckets)
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=repr) == [
+        ("buckets_per_zone", None, None, None, 1, 3), ("buckets_per_zone", None, None, None, 2, 1),
+        ("buckets_per_zone_by_type", "power", None, None, 1, 1), ("buckets_per_zone_by_type", "power", None, None, 2, 1),
+        ("buckets_per_zone_by_type", None, None, None, 1, 1), ("range_counts", "power", 0, 9, 2, 1),
+        ("range_counts", "power", 1, 2, 1, 1), ("range_counts", None, None, None, 1, 1), ("zones_per_activity", None, None, None, 2, 2),
+    ]
+
+
 # --- clocks ---
 
 
