@@ -87,8 +87,13 @@ def discover_types(
 def pivot_values(
     df: DataFrame, key: str, column: str, values: Sequence[str], aggregates: Sequence[Column]
 ) -> DataFrame:
-    """Spark's own pivot with declared values, which needs no pass over the data to find them."""
-    return df.groupBy(key).pivot(column, list(values)).agg(*aggregates)
+    """Spark's own pivot with declared values, which needs no pass over the data to find them.
+
+    Rows move by `key` first. Spark's pivot adds up by key and value before it pivots; before the shuffle that key is
+    nearly as many as the rows, and a task would hold all of its input in one hash table. After it, both steps work on
+    partitions of the shuffle, whose size does not grow with the table.
+    """
+    return df.repartition(key).groupBy(key).pivot(column, list(values)).agg(*aggregates)
 
 
 def pivot_sparse(

@@ -168,6 +168,14 @@ def test_pivot_values(spark):
     assert found.columns == ["id", "p", "h", "q"] and rows(found) == [(1, 5, 6, None)]
 
 
+
+def test_pivot_values_adds_up_only_after_the_shuffle(spark):
+    df = child(spark, [(1, "p", 7, 1, 1, 5), (1, "h", 9, 1, 2, 6)])
+    found = pivot_values(df, "id", "type", ["p", "h", "q"], [F.sum("time").alias("t")])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning(id"):]
+    assert "HashAggregate" not in below and rows(found) == [(1, 5, 6, None)]
+
 def test_type_rules(spark):
     sizes = spark.createDataFrame([("p", 2), ("h", 1), ("h", 2), (None, 1), ("x", 1), ("q", 3)], "type string, n int")
     assert rows(uniform_group_violations(sizes, "type")) == [("h", 2)]
